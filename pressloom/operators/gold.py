@@ -122,12 +122,10 @@ def phrase_counts(df: DataFrame, run_date: date, window_days: int) -> DataFrame:
         explode_phrases(df.filter(current | prior))
         .groupBy("category", "key_phrase")
         .agg(
-            F.count_if(current & F.col("id").isNotNull()).alias("count_current"),
-            F.count_if(prior & F.col("id").isNotNull()).alias("count_prior"),
-            F.count_if(current).alias("_rows_current"),
+            F.count_if(current).alias("count_current"),
+            F.count_if(prior).alias("count_prior"),
         )
-        .filter(F.col("_rows_current") > 0)
-        .drop("_rows_current")
+        .filter(F.col("count_current") > 0)
     )
 
 
