@@ -1,8 +1,9 @@
 """Batch hybrid search: a table of requests against a table of documents.
 
-Scoring is document-partitioned. Documents are hash-partitioned by id once; counting, scoring and the
-first top-k cut then happen inside each partition, and only ``k`` rows per request and partition
-travel to the final cut. A frequent term therefore never gathers its postings on one task.
+Scoring is document-partitioned. Postings of the requested terms are hash-partitioned by document id
+once; scoring and the first top-k cut then happen inside each partition, and only ``k`` rows per
+request and partition travel to the final cut. A frequent term therefore never gathers its postings
+on one task.
 """
 
 from __future__ import annotations
@@ -65,9 +66,10 @@ def bm25(
     Score: over fields and terms, weight x idf x saturated term frequency; lengths and document
     frequencies are counted per field.
     """
-    tokens = field_tokens(cluster_by_id(docs), fields or field_texts(docs))
+    tokens = field_tokens(docs, fields or field_texts(docs))
     terms = query_terms(requests)
-    postings = build_postings(tokens).join(terms.select("term").distinct(), "term", "left_semi")
+    # Counted inside each row and cut to the requested terms before anything is shuffled.
+    postings = cluster_by_id(build_postings(tokens).join(terms.select("term").distinct(), "term", "left_semi"))
     n, df = F.col("n_docs"), F.col("df")
     weight_of = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
     idf = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
@@ -134,7 +136,9 @@ def knn(
     """
     asked = requests.filter(F.col("qvec").isNotNull())
     filters = [c for c in _FILTERS if c in requests.columns]
-    attributes = [c for c in ("doc_category", "doc_source", "doc_sentiment", "doc_published_at") if c in vectors.columns]
+    attributes = [F.col(c) for c in ("doc_category", "doc_source", "doc_sentiment") if c in vectors.columns]
+    if "doc_published_at" in vectors.columns:
+        attributes.append(F.unix_micros("doc_published_at").alias("doc_published_at"))
     columns = ["query_id", F.col("qvec").cast("array<double>").alias("qvec")]
     columns += [_filter_column(name).alias(name) for name in filters]
     passes = max(1, -(-asked.count() // queries_per_pass))
@@ -153,9 +157,10 @@ def knn(
 
 
 def _filter_column(name: str) -> Column:
+    """Filter value as the batch function compares it: instants as microseconds, free of time zones."""
     if name == "date_from":
-        return day_start(F.col(name))
-    return day_end(F.col(name)) if name == "date_to" else F.col(name)
+        return F.unix_micros(day_start(F.col(name)))
+    return F.unix_micros(day_end(F.col(name))) if name == "date_to" else F.col(name)
 
 
 def _neighbours(rows, filters, k):
@@ -173,14 +178,13 @@ def _neighbours(rows, filters, k):
             if name in tested:
                 keep &= batch.column(tested[name]).to_numpy(zero_copy_only=False) == value
             else:
-                published = batch.column("doc_published_at").cast(pa.timestamp("us")).to_numpy(zero_copy_only=False)
-                bound = np.datetime64(value)
-                keep &= published >= bound if name == "date_from" else published <= bound
+                published = batch.column("doc_published_at").to_numpy(zero_copy_only=False)
+                keep &= published >= value if name == "date_from" else published <= value
         return keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_ids = [np.array([], dtype=object)] * len(rows)
-        best_scores = [np.array([], dtype=np.float64)] * len(rows)
+        best_ids = [np.array([], dtype=object)] * len(query_ids)
+        best_scores = [np.array([], dtype=np.float64)] * len(query_ids)
         for batch in batches:
             listed = batch.column("content_vector")
             block = listed.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)

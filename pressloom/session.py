@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library relies on. All can be changed on a running session.
 RUNTIME_CONF = {
@@ -62,3 +62,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the plan at a copy in the shared folder, which outlives any executor."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_dir(df.sparkSession)}/checkpoints")
+    return df.checkpoint()

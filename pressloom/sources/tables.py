@@ -154,7 +154,8 @@ def error_rows(failed: DataFrame) -> DataFrame:
 
 
 def write_errors(failed: DataFrame, root: str) -> None:
-    error_rows(failed).write.mode("append").partitionBy("category", "article_date").parquet(root)
+    """Store the error rows of one batch at a path of its own; a repeat replaces them."""
+    error_rows(failed).write.mode("overwrite").partitionBy("category", "article_date").parquet(root)
 
 
 def dedup_rows(seen: DataFrame) -> DataFrame:
