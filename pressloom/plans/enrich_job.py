@@ -12,7 +12,7 @@ from pressloom.functions.paths import parse_bronze_path
 from pressloom.operators import enrich
 from pressloom.operators.matching import new_only
 from pressloom.sources.files import Folder
-from pressloom.sources.tables import audit_rows, overwrite_partition, write_errors
+from pressloom.sources.tables import audit_rows, overwrite_partition, write_errors, write_partitioned
 
 Annotator = Callable[[DataFrame], DataFrame]
 
@@ -82,6 +82,6 @@ def run_enrich(
     write_errors(failed, f"{work_root}/errors/batch={batch}")
     done = staged.select(F.col("id").alias("url_hash"), "nlpStatus", "vectorStatus", "hasPii", at.alias("ts"))
     audits = audit_rows(done, "enrich_complete", ["nlpStatus", "vectorStatus", "hasPii"])
-    audits.write.mode("overwrite").partitionBy("audit_date").parquet(f"{work_root}/audit/batch=enrich-{batch}")
-    staged.write.mode("append").partitionBy("category", "article_date").parquet(silver_root)
+    write_partitioned(audits, f"{work_root}/audit/batch=enrich-{batch}", "audit_date", mode="overwrite")
+    write_partitioned(staged, silver_root, "category", "article_date")
     return {"enriched": written}

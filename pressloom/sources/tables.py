@@ -25,6 +25,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "append", fmt: str = "parquet") -> None:
+    """Write below ``column=value`` folders with rows gathered by folder.
+
+    Without gathering, every task writes a file into every folder. The rebalance hint also splits a
+    folder that holds much of the data over several tasks, which a plain repartition would not.
+    """
+    df.hint("rebalance", *columns).write.mode(mode).format(fmt).partitionBy(*columns).save(path)
+
+
 def overwrite_partition(df: DataFrame, path: str, column: str, value: str | date) -> int:
     """Replace ``path/column=value`` with ``df`` and return the rows written.
 
@@ -131,9 +140,8 @@ def write_bronze(articles: DataFrame, root: str, ingest_date: date) -> None:
     rewrite what earlier ones stored. Expects ``id`` and ``ingested_at``.
     """
     newest = latest_per_key(articles, ["category", "id"], [F.desc("ingested_at")])
-    newest.withColumn("ingest_date", F.lit(ingest_date)).write.mode("append").partitionBy(
-        "category", "ingest_date"
-    ).json(root)
+    dated = newest.withColumn("ingest_date", F.lit(ingest_date))
+    write_partitioned(dated, root, "category", "ingest_date", fmt="json")
 
 
 def current_bronze(bronze: DataFrame) -> DataFrame:
@@ -155,7 +163,7 @@ def error_rows(failed: DataFrame) -> DataFrame:
 
 def write_errors(failed: DataFrame, root: str) -> None:
     """Store the error rows of one batch at a path of its own; a repeat replaces them."""
-    error_rows(failed).write.mode("overwrite").partitionBy("category", "article_date").parquet(root)
+    write_partitioned(error_rows(failed), root, "category", "article_date", mode="overwrite")
 
 
 def dedup_rows(seen: DataFrame) -> DataFrame:
@@ -208,7 +216,7 @@ def audit_rows(df: DataFrame, event: str, details: Sequence[str], ts: str = "ts"
 
 
 def append_audit(rows: DataFrame, root: str) -> None:
-    rows.write.mode("append").partitionBy("audit_date").parquet(root)
+    write_partitioned(rows, root, "audit_date")
 
 
 def audits_by_date(spark: SparkSession, root: str, day: date) -> DataFrame:

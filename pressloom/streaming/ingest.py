@@ -23,6 +23,7 @@ from pressloom.sources.tables import (
     overwrite_partition,
     pending_rows,
     read_ingested,
+    write_partitioned,
 )
 
 #: Events are delivered again for at most a day (fixed value).
@@ -31,6 +32,15 @@ MAX_ATTEMPTS = 5
 FILES_PER_BATCH = 10
 
 
+PENDING = T.StructType(
+    [
+        T.StructField("body", T.StringType()),
+        T.StructField("enqueued_at", T.TimestampType()),
+        T.StructField("attempts", T.IntegerType()),
+    ]
+)
+
+
 def bronze_events(events: DataFrame) -> DataFrame:
     """Events that announce a new bronze article: key columns, path, event time. Batch or stream."""
     path = path_from_subject("subject")
@@ -54,40 +64,42 @@ def dedup_stream(events: DataFrame, ttl: str | None = REDELIVERY, key: str = "ur
     return events.withWatermark("ingested_at", ttl).dropDuplicatesWithinWatermark([key])
 
 
-def ingest_batch(dedup_path: str, pending_path: str) -> Callable[[DataFrame, int], None]:
+def ingest_batch(dedup_path: str, pending_path: str, feed: str) -> Callable[[DataFrame, int], None]:
     """Batch handler: drop what the ingest table knows, write references, then mark them.
 
+    ``feed`` names the event source, so that batches of several sources stay apart.
+
     References come first: if the batch dies in between, its repeat finds the hashes unmarked (its
     own marks are ignored) and writes the same references into the same partition.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = drop_seen(batch, read_ingested(spark, dedup_path, except_batch=batch_id))
-        references = pending_rows(fresh).withColumn("batch", F.lit(str(batch_id)))
-        overwrite_partition(references, pending_path, "batch", str(batch_id))
-        written = decode_pending(spark.read.parquet(f"{pending_path}/batch={batch_id}"))
+        name = f"{feed}-{batch_id}"
+        fresh = drop_seen(batch, read_ingested(spark, dedup_path, except_batch=name))
+        overwrite_partition(pending_rows(fresh).withColumn("batch", F.lit(name)), pending_path, "batch", name)
+        written = decode_pending(spark.read.schema(PENDING).parquet(f"{pending_path}/batch={name}"))
         marks = written.select(
             F.col("urlHash").alias("url_hash"),
             F.lit("").alias("url"),
             "category",
             F.col("ingestedAt").alias("ingested_at"),
         )
-        mark_ingested(marks, dedup_path, batch_id)
+        mark_ingested(marks, dedup_path, name)
 
     return handle
 
 
-def audit_batch(audit_path: str) -> Callable[[DataFrame, int], None]:
+def audit_batch(audit_path: str, feed: str) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = audit_rows(batch, "blob_created", ["blob_path", "category", "date_str"], ts="ingested_at")
-        rows.write.mode("overwrite").partitionBy("audit_date").parquet(f"{audit_path}/batch={batch_id}")
+        write_partitioned(rows, f"{audit_path}/batch={feed}-{batch_id}", "audit_date", mode="overwrite")
 
     return handle
 
 
 def start_ingest(
-    events: DataFrame, work_root: str, checkpoint_root: str, ttl: str | None = REDELIVERY
+    events: DataFrame, work_root: str, checkpoint_root: str, feed: str = "events", ttl: str | None = REDELIVERY
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both subscribers of the event stream: work references and the audit trail.
 
@@ -96,31 +108,22 @@ def start_ingest(
     announced = bronze_events(events)
     work = (
         dedup_stream(announced, ttl)
-        .writeStream.queryName("pressloom_work")
+        .writeStream.queryName(f"work_{feed}")
         .option("checkpointLocation", f"{checkpoint_root}/work")
-        .foreachBatch(ingest_batch(f"{work_root}/ingested", f"{work_root}/pending"))
+        .foreachBatch(ingest_batch(f"{work_root}/ingested", f"{work_root}/pending", feed))
         .trigger(availableNow=True)
         .start()
     )
     audit = (
-        announced.writeStream.queryName("pressloom_audit")
+        announced.writeStream.queryName(f"audit_{feed}")
         .option("checkpointLocation", f"{checkpoint_root}/audit")
-        .foreachBatch(audit_batch(f"{work_root}/audit"))
+        .foreachBatch(audit_batch(f"{work_root}/audit", feed))
         .trigger(availableNow=True)
         .start()
     )
     return work, audit
 
 
-PENDING = T.StructType(
-    [
-        T.StructField("body", T.StringType()),
-        T.StructField("enqueued_at", T.TimestampType()),
-        T.StructField("attempts", T.IntegerType()),
-    ]
-)
-
-
 def read_pending_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     return spark.readStream.schema(PENDING).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
@@ -160,7 +163,7 @@ def consume(
         overwrite_partition(again.withColumn("batch", F.lit(retry)), f"{work_root}/pending", "batch", retry)
 
     return (
-        pending.writeStream.queryName("pressloom_consume")
+        pending.writeStream.queryName("consume")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(handle)
         .trigger(availableNow=True)
