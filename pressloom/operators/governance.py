@@ -39,7 +39,8 @@ def classification_report(labelled: DataFrame) -> DataFrame:
     """Documents per layer and matched rule, with the sensitivity the rule carries."""
     label_of = F.create_map(*[F.lit(x) for rule in RULES for x in (rule.name, rule.label)])
     return (
-        labelled.select("layer", F.explode("labels").alias("rule"))
+        labelled.select("layer", F.explode_outer("labels").alias("rule"))
+        .filter(F.col("rule").isNotNull())
         .groupBy("layer", "rule")
         .agg(F.count(F.lit(1)).alias("documents"))
         .withColumn("sensitivity", label_of[F.col("rule")])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +35,23 @@ def to_search_doc(silver: DataFrame) -> DataFrame:
     )
 
 
-def upsert_index(docs: DataFrame, index_path: str) -> dict[str, int | list[str]]:
+def upsert_index(docs: DataFrame, index_path: str) -> dict[str, int]:
     """Merge or upload documents by id into the stored index.
 
     Documents whose id is blank are reported as failed and left out; of several documents with one
     id the most recently published wins.
     """
     keyed = F.coalesce(F.length("id") > 0, F.lit(False))
-    observation = Observation()
-    watched = docs.observe(observation, F.count(F.lit(1)).alias("total"), F.count_if(~keyed).alias("failed"))
+    counted = docs.agg(F.count(F.lit(1)).alias("total"), F.count_if(~keyed).alias("failed")).first()
     order = [F.desc_nulls_last("published_at"), F.asc_nulls_last("url"), F.asc_nulls_last("title")]
-    touched = merge_upsert(latest_per_key(watched.filter(keyed), ["id"], order), index_path, ["id"])
-    seen = observation.get
-    total, failed = int(seen.get("total") or 0), int(seen.get("failed") or 0)
-    return {"total": total, "succeeded": total - failed, "failed": failed, **touched}
+    merged = merge_upsert(latest_per_key(docs.filter(keyed), ["id"], order), index_path, ["id"])
+    return {
+        "total": counted["total"],
+        "succeeded": counted["total"] - counted["failed"],
+        "failed": counted["failed"],
+        "inserted": merged["inserted"],
+        "updated": merged["updated"],
+    }
 
 
 def schema_warnings(live: T.StructType, updated: T.StructType = schemas.SEARCH_DOC) -> list[str]:
@@ -96,13 +100,65 @@ def build_postings(tokens: DataFrame) -> DataFrame:
     return runs.select("id", "field", F.size("tokens").alias("len"), F.inline(counted))
 
 
-def field_stats(tokens: DataFrame) -> DataFrame:
-    """``field, n_docs, avg_len``: one row per field."""
-    return tokens.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"), (F.sum(F.size("tokens")) / F.count(F.lit(1))).alias("avg_len")
+def term_frequencies(postings: DataFrame) -> DataFrame:
+    """``field, term, df, occurrences``. Partial counts leave each task before a frequent term meets."""
+    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("occurrences"))
+
+
+def field_stats(frequencies: DataFrame, n_docs: Column) -> DataFrame:
+    """``field, n_docs, avg_len``: one row per field with any term; a document without terms has length 0."""
+    totals = frequencies.groupBy("field").agg(F.sum("occurrences").alias("length"))
+    return totals.select("field", n_docs.alias("n_docs"), (F.col("length") / n_docs).alias("avg_len"))
+
+
+@dataclass(frozen=True)
+class TextIndex:
+    """What keyword scoring reads; ``buckets`` is the number of term buckets of stored postings."""
+
+    postings: DataFrame
+    frequencies: DataFrame
+    stats: DataFrame
+    buckets: int = 0
+
+
+def text_index(docs: DataFrame, fields: Mapping[str, Column] | None = None) -> TextIndex:
+    """Index of a document table as part of the plan: for one batch of requests over changing documents."""
+    counted = build_postings(field_tokens(docs, fields or field_texts(docs)))
+    frequencies = term_frequencies(counted)
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    return TextIndex(counted, frequencies, field_stats(frequencies, n_docs))
+
+
+TERM_BUCKETS = 64
+
+
+def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_text_index(
+    docs: DataFrame, path: str, fields: Mapping[str, Column] | None = None, buckets: int = TERM_BUCKETS
+) -> TextIndex:
+    """Store the index below ``path``, a new version folder; texts are analysed once.
+
+    Postings lie in folders by term bucket, sorted by term, so a search opens only what its terms
+    need. The folder of a frequent term is written by several tasks. Choose more buckets for more text.
+    """
+    spark = docs.sparkSession
+    observation = Observation()
+    watched = docs.observe(observation, F.count(F.lit(1)).alias("n_docs"))
+    counted = build_postings(field_tokens(watched, fields or field_texts(docs)))
+    bucketed = counted.withColumn("bucket", term_bucket(F.col("term"), buckets)).hint("rebalance", "bucket")
+    bucketed.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(
+        f"{path}/postings"
     )
+    n_docs = F.lit(int(observation.get.get("n_docs") or 0))
+    frequencies = term_frequencies(spark.read.parquet(f"{path}/postings"))
+    frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+    field_stats(spark.read.parquet(f"{path}/frequencies"), n_docs).write.mode("overwrite").parquet(f"{path}/stats")
+    return read_text_index(spark, path, buckets)
 
 
-def document_frequency(postings: DataFrame) -> DataFrame:
-    """``field, term, df``. Partial counts leave each task before a frequent term is brought together."""
-    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+def read_text_index(spark: SparkSession, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
+    parts = [spark.read.parquet(f"{path}/{part}") for part in ("postings", "frequencies", "stats")]
+    return TextIndex(*parts, buckets)

@@ -19,16 +19,10 @@ from pyspark.sql import functions as F
 from pressloom.functions.scores import freshness
 from pressloom.functions.text import tokenize
 from pressloom.operators.enrich import cluster_by_id
-from pressloom.operators.index import (
-    FIELD_WEIGHTS,
-    build_postings,
-    document_frequency,
-    field_stats,
-    field_texts,
-    field_tokens,
-)
+from pressloom.operators.index import FIELD_WEIGHTS, TextIndex, field_texts, term_bucket, text_index
 from pressloom.operators.requests import day_end, day_start, filter_matches
 from pressloom.operators.select import top_n
+from pressloom.session import small
 
 # Parameters of the published formulas: BM25 (Robertson & Zaragoza 2009), RRF (Cormack et al. 2009).
 BM25_K1 = 1.2
@@ -42,6 +36,9 @@ MAX_CANDIDATES = 100
 
 SCORE_DIGITS = 6
 
+#: Request terms up to this many rows are broadcast; above it, joins shuffle and split frequent terms.
+BROADCAST_TERMS = 500_000
+
 
 def candidate_depth(top: Column) -> Column:
     """How deep each leg is read: twice the page, at least 50; pages have at most 50 rows."""
@@ -55,8 +52,7 @@ def query_terms(requests: DataFrame) -> DataFrame:
 
 def bm25(
     requests: DataFrame,
-    docs: DataFrame,
-    fields: Mapping[str, Column] | None = None,
+    index: TextIndex,
     weights: Mapping[str, float] = FIELD_WEIGHTS,
     k1: float = BM25_K1,
     b: float = BM25_B,
@@ -64,24 +60,41 @@ def bm25(
     """``query_id, id, score`` of every document that has any term of the request.
 
     Score: over fields and terms, weight x idf x saturated term frequency; lengths and document
-    frequencies are counted per field.
+    frequencies are counted per field. The sides that describe the requests have at most one row per
+    request term and field, so one look at the number of terms bounds all of them.
     """
-    tokens = field_tokens(docs, fields or field_texts(docs))
     terms = query_terms(requests)
-    # Counted inside each row and cut to the requested terms before anything is shuffled.
-    postings = cluster_by_id(build_postings(tokens).join(terms.select("term").distinct(), "term", "left_semi"))
+    fits = small(terms, BROADCAST_TERMS)
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if fits else df
+
+    wanted = side(terms.select("term").distinct())
     n, df = F.col("n_docs"), F.col("df")
     weight_of = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
     idf = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
     factors = (
-        document_frequency(postings)
-        .join(field_stats(tokens), "field")
+        index.frequencies.join(wanted, "term", "left_semi")
+        .join(index.stats, "field")
         .select("field", "term", "avg_len", (weight_of[F.col("field")] * idf).alias("factor"))
     )
+    # Cut to the requested terms before the one shuffle that brings a document's terms together.
+    postings = cluster_by_id(_postings_of(index, terms, fits).join(wanted, "term", "left_semi"))
     relative_len = F.lit(1 - b) + F.lit(b) * F.col("len") / F.col("avg_len")
     part = F.col("factor") * F.col("tf") * (k1 + 1) / (F.col("tf") + F.lit(k1) * relative_len)
-    per_term = postings.join(factors, ["field", "term"]).groupBy("id", "term").agg(F.sum(part).alias("part"))
-    return per_term.join(terms, "term").groupBy("query_id", "id").agg(F.sum("part").alias("score"))
+    per_term = postings.join(side(factors), ["field", "term"]).groupBy("id", "term").agg(F.sum(part).alias("part"))
+    return per_term.join(side(terms), "term").groupBy("query_id", "id").agg(F.sum("part").alias("score"))
+
+
+def _postings_of(index: TextIndex, terms: DataFrame, fits: bool) -> DataFrame:
+    """Postings, of a stored index only the folders of the requested terms."""
+    if not index.buckets:
+        return index.postings
+    if not fits:
+        return index.postings.drop("bucket")
+    needed = terms.select(term_bucket(F.col("term"), index.buckets).alias("bucket")).distinct()
+    folders = [row["bucket"] for row in needed.collect()]
+    return index.postings.filter(F.col("bucket").isin(folders)).drop("bucket")
 
 
 def _doc_attributes(docs: DataFrame, *more: str) -> DataFrame:
@@ -99,14 +112,14 @@ _FILTERS = ("category", "source", "sentiment", "date_from", "date_to")
 
 
 def keyword_matches(
-    requests: DataFrame, docs: DataFrame, as_of: Column, fields: Mapping[str, Column] | None = None
+    requests: DataFrame, docs: DataFrame, as_of: Column, index: TextIndex | None = None
 ) -> DataFrame:
     """Every match of every request that passes its filters, with its boosted score.
 
     Freshness counts only for requests without semantic ranking. Attributes join on the partitioning
-    the scores already have.
+    the scores already have. Without a stored ``index`` the documents are indexed within the plan.
     """
-    scored = bm25(requests, docs, fields).join(_doc_attributes(cluster_by_id(docs)), "id")
+    scored = bm25(requests, index or text_index(docs)).join(_doc_attributes(cluster_by_id(docs)), "id")
     asked = requests.select("query_id", "semantic", "top", *_FILTERS)
     joined = scored.join(asked, "query_id").filter(filter_matches(*[F.col(c) for c in _FILTERS]))
     boost = F.when(F.col("semantic"), F.lit(1.0)).otherwise(freshness(F.col("doc_published_at"), as_of))
@@ -284,7 +297,7 @@ def search(
     requests: DataFrame,
     docs: DataFrame,
     as_of: Column,
-    fields: Mapping[str, Column] | None = None,
+    index: TextIndex | None = None,
     scorer: Column | None = None,
 ) -> DataFrame:
     """Result pages of valid requests: ``query_id, rank, score``, document fields and ``warning``.
@@ -293,13 +306,12 @@ def search(
     is answered by keywords alone, with a warning if it wanted vectors. Semantic requests are
     reranked over their best 50.
     """
-    texts = fields or field_texts(docs)
     hybrid = F.col("vector") & F.col("qvec").isNotNull()
     modes = requests.select(
         "query_id", "q", "top", "semantic", hybrid.alias("hybrid"),
         F.when(F.col("vector") & F.col("qvec").isNull(), F.lit(WARNING)).alias("warning"),
     )
-    by_words = top_k(keyword_matches(requests, docs, as_of, texts), MAX_CANDIDATES).filter(
+    by_words = top_k(keyword_matches(requests, docs, as_of, index), MAX_CANDIDATES).filter(
         F.col("rank") <= candidate_depth(F.col("top"))
     )
     vectors = _doc_attributes(docs, "content_vector")
@@ -318,7 +330,7 @@ def search(
     )
     page = top_k(scored.drop("fused", "words"), RERANK_CANDIDATES)
     found = page.join(docs.drop("content_vector"), "id")
-    score = token_overlap(F.col("q"), texts) if scorer is None else scorer
+    score = token_overlap(F.col("q"), field_texts(docs)) if scorer is None else scorer
     plain = found.filter(~F.col("semantic"))
     semantic = rerank(found.filter(F.col("semantic")), score)
     return plain.unionByName(semantic).filter(F.col("rank") <= F.col("top"))

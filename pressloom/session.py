@@ -34,6 +34,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # A few MB per task keep all cores of one machine busy; a cluster keeps Spark's 64 MB.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -70,3 +72,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_dir(df.sparkSession)}/checkpoints")
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input with fewer splits than cores, such as one big row group.
+
+    Meant for tables whose rows are costly to process. An input of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def small(df: DataFrame, max_rows: int) -> bool:
+    """Whether a frame has at most ``max_rows`` rows; reads no more than it takes to tell."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -13,6 +14,7 @@ from pressloom import schemas
 from pressloom.functions.paths import parse_bronze_path
 from pressloom.functions.text import has_text
 from pressloom.operators.select import window_bounds
+from pressloom.sources.files import Folder
 
 SOURCE_OK = "ok"
 
@@ -44,7 +46,10 @@ def read_articles(spark: SparkSession, root: str, schema: T.StructType = schemas
         .option("pathGlobFilter", "*.json")
         .json(root)
     )
-    segments = F.slice(F.split(F.col("_metadata.file_path"), "/"), -3, 3)
+    # Local files are reported with one or three slashes after the scheme.
+    segments = F.split(F.regexp_replace("_metadata.file_path", "^file:/+", "/"), "/")
+    above = re.sub("^file:/+", "/", Folder(spark, root).qualified()).count("/") + 1
+    segments = F.slice(segments, F.lit(above + 1), F.greatest(F.size(segments) - above, F.lit(0)))
     located = documents.select("*", parse_bronze_path(F.array_join(segments, "/")).alias("_path"))
     return located.filter(F.col("_path").isNotNull()).select(
         F.col("_path.url_hash").alias("id"),

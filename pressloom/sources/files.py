@@ -18,6 +18,10 @@ class Folder:
     def exists(self, path: str | None = None) -> bool:
         return self._fs.exists(self._as_path(path or self.path))
 
+    def qualified(self) -> str:
+        """The full path with its scheme."""
+        return self._fs.makeQualified(self._as_path(self.path)).toString()
+
     def _move(self, source: str, target: str) -> None:
         if not self._fs.rename(self._as_path(source), self._as_path(target)):
             raise OSError(f"cannot move {source} to {target}")

@@ -201,7 +201,7 @@ FROM articles"""
 SQL["dedup_new"] = f"""
 WITH {FILE_EVENTS}
 SELECT url_hash, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS ingested_at FROM file_events
-WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 50)
+WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 90)
 GROUP BY url_hash"""
 
 SQL["new_only"] = f"""

@@ -28,6 +28,8 @@ LOOKBACK, KEYWORD_WINDOW = t.DAYS, t.DAYS // 2
 #: Words of the invented prose that stand for polar words.
 LEXICON = enrich.Lexicon(positive=("with", "for", "that", "avec", "mit", "con"), negative=("not", "was", "this", "pas", "nicht", "por"))
 EMBED_DIMS = 64
+#: Term buckets that suit some million postings.
+BUCKETS = 8
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -138,7 +140,7 @@ def url_hash(spark, sf_dir):
 def extract_text(spark, sf_dir):
     """HTML pages as article content, with the truncation marker a news provider appends."""
     content = F.concat(F.col("html"), F.lit(" [+"), F.length("html").cast("string"), F.lit(" chars] \n"))
-    pages = t.table(spark, sf_dir, "pages").select("page_id", content.alias("content"), F.col("url").alias("title"))
+    pages = t.pages(spark, sf_dir).select("page_id", content.alias("content"), F.col("url").alias("title"))
     return pages.select(
         "page_id",
         text.extract_text("content", F.lit(None).cast("string"), "title").alias("text"),
@@ -168,7 +170,7 @@ def text_source(spark, sf_dir):
 @query
 def truncate_words(spark, sf_dir):
     cut = text.truncate_words("text")
-    return t.table(spark, sf_dir, "documents").select("doc_id", F.length(cut).alias("chars").cast("bigint"), F.md5(cut).alias("digest"))
+    return t.documents(spark, sf_dir).select("doc_id", F.length(cut).alias("chars").cast("bigint"), F.md5(cut).alias("digest"))
 
 
 @query
@@ -262,7 +264,7 @@ def dedup_new(spark, sf_dir):
     events = t.table(spark, sf_dir, "events")
     key = F.substring(F.sha2(F.col("user_id").cast("string"), 256), 1, 16)
     known = tables.dedup_rows(
-        events.filter((F.col("event_type") == "error") & (F.col("value") > 50)).select(
+        events.filter((F.col("event_type") == "error") & (F.col("value") > 90)).select(
             key.alias("url_hash"), F.lit("").alias("url"), F.lit("user").alias("category"), F.col("ts").alias("ingested_at")
         )
     )
@@ -514,26 +516,39 @@ def index_stats(spark, sf_dir):
     return stats.select("document_count", (F.col("storage_bytes") > 0).alias("has_bytes"))
 
 
+def _texts(spark, sf_dir):
+    """Title and whole body of the articles: what plain keyword scoring needs."""
+    return t.articles(spark, sf_dir).select("id", "title", F.col("text").alias("body_snippet"))
+
+
+def _stored_index(spark, sf_dir):
+    """The search corpus and its terms as stored tables, which is what searches run on."""
+    path = scratch_path(spark, "corpus")
+    t.search_corpus(spark, sf_dir).write.parquet(f"{path}/docs")
+    docs = spark.read.parquet(f"{path}/docs")
+    return docs, index.write_text_index(docs, f"{path}/terms", _fields(), BUCKETS)
+
+
 def _fields():
     return {"title": F.col("title"), "body_snippet": F.col("body_snippet")}
 
 
 @query
 def corpus_stats(spark, sf_dir):
-    stats = index.field_stats(index.field_tokens(t.search_corpus(spark, sf_dir), _fields()))
+    stats = index.text_index(_texts(spark, sf_dir), _fields()).stats
     return stats.select("field", "n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
 @query
 def postings(spark, sf_dir):
     """Term statistics of the index: per field and term, documents and occurrences."""
-    counted = index.build_postings(index.field_tokens(t.search_corpus(spark, sf_dir), _fields()))
-    return counted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("occurrences"))
+    return index.text_index(_texts(spark, sf_dir), _fields()).frequencies
 
 
 @query
 def bm25_top(spark, sf_dir):
-    scored = search.bm25(t.requests(spark, sf_dir), t.search_corpus(spark, sf_dir), _fields())
+    stored = index.write_text_index(_texts(spark, sf_dir), scratch_path(spark, "terms"), _fields(), BUCKETS)
+    scored = search.bm25(t.requests(spark, sf_dir), stored)
     return _dates_as_text(search.top_k(scored.withColumn("score", F.round("score", 6)), 10))
 
 
@@ -567,7 +582,8 @@ def knn_top(spark, sf_dir):
 @query
 def rrf_hybrid(spark, sf_dir):
     """Hybrid search: boosted BM25 and vectors, fused; requests without a vector fall back to keywords."""
-    results = search.search(_open_requests(spark, sf_dir), t.search_corpus(spark, sf_dir), _as_of(), _fields())
+    docs, stored = _stored_index(spark, sf_dir)
+    results = search.search(_open_requests(spark, sf_dir), docs, _as_of(), stored)
     return _dates_as_text(results.select("query_id", "rank", "id", "score", "warning"))
 
 
@@ -575,8 +591,9 @@ def rrf_hybrid(spark, sf_dir):
 def rerank(spark, sf_dir):
     """The best 50 by BM25, reordered by weighted term overlap."""
     asked = t.requests(spark, sf_dir)
-    docs = t.search_corpus(spark, sf_dir)
-    scored = search.bm25(asked, docs, _fields()).withColumn("score", F.round("score", 6))
+    docs = _texts(spark, sf_dir)
+    stored = index.write_text_index(docs, scratch_path(spark, "terms"), _fields(), BUCKETS)
+    scored = search.bm25(asked, stored).withColumn("score", F.round("score", 6))
     candidates = search.top_k(scored, search.RERANK_CANDIDATES).join(asked.select("query_id", "q"), "query_id")
     found = candidates.join(docs.select("id", "title", "body_snippet"), "id")
     reordered = search.rerank(found, search.token_overlap(F.col("q"), _fields()))
@@ -586,7 +603,8 @@ def rerank(spark, sf_dir):
 @query
 def facets(spark, sf_dir):
     """Facets and totals of every request over its whole filtered match set."""
-    matches = search.keyword_matches(_open_requests(spark, sf_dir), t.search_corpus(spark, sf_dir), _as_of(), _fields())
+    docs, stored = _stored_index(spark, sf_dir)
+    matches = search.keyword_matches(_open_requests(spark, sf_dir), docs, _as_of(), stored)
     counts = search.facet_counts(matches)
     total = search.total_counts(counts).select(
         "query_id", F.lit("total").alias("facet"), F.lit("").alias("value"), F.col("count").alias("n"), F.lit(1).alias("rank")
@@ -597,9 +615,9 @@ def facets(spark, sf_dir):
 @query
 def search_report(spark, sf_dir):
     asked = _open_requests(spark, sf_dir)
-    docs = t.search_corpus(spark, sf_dir)
-    results = search.search(asked, docs, _as_of(), _fields())
-    counts = search.facet_counts(search.keyword_matches(asked, docs, _as_of(), _fields()))
+    docs, stored = _stored_index(spark, sf_dir)
+    results = search.search(asked, docs, _as_of(), stored)
+    counts = search.facet_counts(search.keyword_matches(asked, docs, _as_of(), stored))
     report = search.search_report(asked, results, counts)
     ids = F.array_join(F.transform("results", lambda r: r.id), "|")
     facet = F.array_join(F.transform("facets", lambda f: F.concat_ws(":", f.facet, f.value, f.n.cast("string"))), "|")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.functions import pii
-from pressloom.session import tune
+from pressloom.session import spread, tune
 
 #: Articles and events span these days.
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
@@ -26,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def article_day(doc_id) -> F.Column:
     return F.date_add(F.lit(FIRST_DAY), F.pmod(doc_id, F.lit(DAYS)).cast("int"))
 
@@ -33,7 +41,7 @@ def article_day(doc_id) -> F.Column:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw articles: one per document, headline = text up to the first full stop or line break."""
     day = article_day(F.col("doc_id"))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"),
         "doc_id",
         F.concat(F.lit("https://news.example.com/"), F.col("source"), F.lit("/"), F.col("doc_id")).alias("url"),
