@@ -29,8 +29,10 @@ from pressloom.functions.text import (
     has_text,
     source_name,
     tokenize,
+    truncate_words,
 )
 from pressloom.operators.select import top_n
+from pressloom.session import small
 
 EMPTY_TEXT = "Document text is empty"
 
@@ -118,14 +120,19 @@ def _as_entity(category: str) -> Callable[[Column], Column]:
     return lambda hit: _entity(hit, F.lit(category), F.lit(None).cast("string"), 1.0)
 
 
+BROADCAST_NAMES = 1_000_000
+
+
 def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
     """Name mentions: id, position, text, category, subcategory.
 
-    Joins the runs of up to ``max_words`` words of each text with gazetteer names. Names are unique
-    on their side, so the join adds no rows; Spark broadcasts the gazetteer only while its size
-    permits. Words are taken as written: names are matched with their capitals.
+    Joins the runs of up to ``max_words`` words of each text with gazetteer names, as written. Names
+    are unique on their side, so the join adds no rows. A gazetteer of bounded size is broadcast; for
+    a larger one the runs are shuffled and adaptive execution splits the frequent words.
     """
     names = gazetteer.dropDuplicates(["name"]).select("name", "category", "subcategory")
+    if small(names, BROADCAST_NAMES):
+        names = F.broadcast(names)
     words = df.select("id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
     runs = [
         F.transform(
@@ -266,8 +273,14 @@ def annotate(
     lexicon: Lexicon = DEFAULT_LEXICON,
     gazetteer: DataFrame | None = None,
     dims: int = EMBEDDING_DIMS,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """Built-in annotators over ``id, text, embedding_text, ...``, one row per article in and out."""
+    """Built-in annotators over ``id, text, embedding_text, ...``, one row per article in and out.
+
+    ``max_chars`` imposes the text limit of a hosted annotator; by default whole texts are read.
+    """
+    if max_chars is not None:
+        prepared = prepared.withColumn("text", truncate_words("text", max_chars))
     clustered = cluster_by_id(prepared)
     texts = clustered.select("id", "text")
     readable = has_text("text")

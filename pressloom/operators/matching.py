@@ -29,7 +29,7 @@ def new_only(pending: DataFrame, silver: DataFrame) -> DataFrame:
     """Pending articles that have no silver row yet, at most one per article."""
     keys = ["category", "article_date", "id"]
     unique = latest_per_key(pending, keys, [F.asc("ingested_at")])
-    return unique.join(silver.select(*keys), keys, "left_anti")
+    return unique.join(silver.select(*keys).distinct(), keys, "left_anti")
 
 
 def backfill_candidates(

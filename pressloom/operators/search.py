@@ -36,6 +36,9 @@ MAX_CANDIDATES = 100
 
 SCORE_DIGITS = 6
 
+#: Requests up to this many are broadcast, with up to a page of results each.
+BROADCAST_REQUESTS = 20_000
+
 #: Request terms up to this many rows are broadcast; above it, joins shuffle and split frequent terms.
 BROADCAST_TERMS = 500_000
 
@@ -97,6 +100,14 @@ def _postings_of(index: TextIndex, terms: DataFrame, fits: bool) -> DataFrame:
     return index.postings.filter(F.col("bucket").isin(folders)).drop("bucket")
 
 
+def request_side(requests: DataFrame, df: DataFrame) -> DataFrame:
+    """``df``, which has at most a page of rows per request, as broadcast side if requests are few enough.
+
+    Otherwise the join shuffles, and adaptive execution splits requests that match much.
+    """
+    return F.broadcast(df) if small(requests, BROADCAST_REQUESTS) else df
+
+
 def _doc_attributes(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(
         "id",
@@ -120,7 +131,7 @@ def keyword_matches(
     the scores already have. Without a stored ``index`` the documents are indexed within the plan.
     """
     scored = bm25(requests, index or text_index(docs)).join(_doc_attributes(cluster_by_id(docs)), "id")
-    asked = requests.select("query_id", "semantic", "top", *_FILTERS)
+    asked = request_side(requests, requests.select("query_id", "semantic", "top", *_FILTERS))
     joined = scored.join(asked, "query_id").filter(filter_matches(*[F.col(c) for c in _FILTERS]))
     boost = F.when(F.col("semantic"), F.lit(1.0)).otherwise(freshness(F.col("doc_published_at"), as_of))
     return joined.select(
@@ -329,7 +340,7 @@ def search(
         "score", F.round(F.when(F.col("hybrid"), F.col("fused")).otherwise(F.col("words")), SCORE_DIGITS)
     )
     page = top_k(scored.drop("fused", "words"), RERANK_CANDIDATES)
-    found = page.join(docs.drop("content_vector"), "id")
+    found = docs.drop("content_vector").join(request_side(requests, page), "id")
     score = token_overlap(F.col("q"), field_texts(docs)) if scorer is None else scorer
     plain = found.filter(~F.col("semantic"))
     semantic = rerank(found.filter(F.col("semantic")), score)

@@ -57,11 +57,18 @@ def bronze_events(events: DataFrame) -> DataFrame:
     )
 
 
-def dedup_stream(events: DataFrame, ttl: str | None = REDELIVERY, key: str = "url_hash") -> DataFrame:
-    """First event per key. With a ``ttl`` the state forgets keys that old; without, it grows for ever."""
+def dedup_stream(events: DataFrame, ttl: str | None = REDELIVERY, key: str = "url_hash", salts: int = 8) -> DataFrame:
+    """First event per key, as a purely streaming operator.
+
+    With a ``ttl`` the state forgets keys that old; without, it grows for ever. A stream has no
+    map-side cut, so repeats are dropped in two steps: per key and input split, spread over ``salts``
+    tasks, then per key. A key with a third of all events sends one event per salt to the second.
+    """
+    salted = events.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     if ttl is None:
-        return events.dropDuplicates([key])
-    return events.withWatermark("ingested_at", ttl).dropDuplicatesWithinWatermark([key])
+        return salted.dropDuplicates([key, "_salt"]).dropDuplicates([key]).drop("_salt")
+    marked = salted.withWatermark("ingested_at", ttl)
+    return marked.dropDuplicatesWithinWatermark([key, "_salt"]).dropDuplicatesWithinWatermark([key]).drop("_salt")
 
 
 def ingest_batch(dedup_path: str, pending_path: str, feed: str) -> Callable[[DataFrame, int], None]:
@@ -99,16 +106,16 @@ def audit_batch(audit_path: str, feed: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_ingest(
-    events: DataFrame, work_root: str, checkpoint_root: str, feed: str = "events", ttl: str | None = REDELIVERY
+    events: DataFrame, work_root: str, checkpoint_root: str, feed: str = "events"
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both subscribers of the event stream: work references and the audit trail.
 
-    They share nothing but the source, so a failing audit does not stop the work.
+    They share nothing but the source, so a failing audit does not stop the work. Repeats are dropped
+    per batch against the ingest table, which is exact for any age; no streaming state is kept.
     """
     announced = bronze_events(events)
     work = (
-        dedup_stream(announced, ttl)
-        .writeStream.queryName(f"work_{feed}")
+        announced.writeStream.queryName(f"work_{feed}")
         .option("checkpointLocation", f"{checkpoint_root}/work")
         .foreachBatch(ingest_batch(f"{work_root}/ingested", f"{work_root}/pending", feed))
         .trigger(availableNow=True)

@@ -23,9 +23,9 @@ def deliver(spark, root, *events):
     spark.createDataFrame(list(events), schemas.EVENT).coalesce(1).write.mode("append").parquet(f"{root}/events")
 
 
-def run_ingest(spark, root, ttl=ingest.REDELIVERY):
+def run_ingest(spark, root):
     stream = spark.readStream.schema(schemas.EVENT).parquet(f"{root}/events")
-    for query in ingest.start_ingest(stream, f"{root}/work", f"{root}/checkpoint", ttl=ttl):
+    for query in ingest.start_ingest(stream, f"{root}/work", f"{root}/checkpoint"):
         query.awaitTermination()
     return tables.decode_pending(spark.read.schema(ingest.PENDING).parquet(f"{root}/work/pending"))
 
@@ -46,18 +46,36 @@ def test_event_filter(spark):
     ]
 
 
-@pytest.mark.parametrize("ttl", [ingest.REDELIVERY, None])
-def test_ingest_drops_repeats_within_and_across_runs(spark, ttl):
+def test_ingest_drops_repeats_within_and_across_runs(spark):
     root = scratch_path(spark, "t")
     deliver(spark, root, event(1, 0), event(1, 5), event(2, 6), event(3, 7, container="other"))
-    assert sorted(r["urlHash"] for r in run_ingest(spark, root, ttl).collect()) == ["h1", "h2"]
-    # A repeat far beyond the state's memory is caught by the ingest table.
+    assert sorted(r["urlHash"] for r in run_ingest(spark, root).collect()) == ["h1", "h2"]
+    # A repeat of any age is caught by the ingest table.
     deliver(spark, root, event(1, 60 * 24 * 9), event(4, 60 * 24 * 9))
-    assert sorted(r["urlHash"] for r in run_ingest(spark, root, ttl).collect()) == ["h1", "h2", "h4"]
+    assert sorted(r["urlHash"] for r in run_ingest(spark, root).collect()) == ["h1", "h2", "h4"]
     audits = spark.read.parquet(f"{root}/work/audit")
     assert audits.count() == 5  # every bronze announcement, repeats too
 
 
+@pytest.mark.parametrize("ttl", [ingest.REDELIVERY, None])
+def test_streaming_dedup(spark, ttl):
+    """Repeats of a hot key in several files and runs; with a ttl the state forgets old keys."""
+    root = scratch_path(spark, "t")
+
+    def run():
+        stream = ingest.bronze_events(spark.readStream.schema(schemas.EVENT).parquet(f"{root}/events"))
+        live.run_available(ingest.dedup_stream(stream, ttl).select("url_hash"), f"{root}/out", f"{root}/checkpoint")
+        return sorted(r["url_hash"] for r in spark.read.schema("url_hash string").parquet(f"{root}/out").collect())
+
+    for n in range(3):
+        deliver(spark, root, *[event(1, m + n) for m in range(20)], event(10 + n, n))
+    assert run() == ["h1", "h10", "h11", "h12"]
+    deliver(spark, root, event(1, 30), event(2, 60 * 24 * 9))
+    assert run() == ["h1", "h10", "h11", "h12", "h2"]
+    deliver(spark, root, event(1, 60 * 24 * 9 + 5))
+    assert run() == (["h1", "h1", "h10", "h11", "h12", "h2"] if ttl else ["h1", "h10", "h11", "h12", "h2"])
+
+
 def test_replayed_batch_changes_nothing(spark):
     root = scratch_path(spark, "t")
     handle = ingest.ingest_batch(f"{root}/ingested", f"{root}/pending", "feed")

@@ -389,6 +389,11 @@ SQL["postings"] = f"""
 WITH {ARTICLES}, {FIELD_TOKENS}
 SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences FROM postings GROUP BY field, term"""
 
+SQL["index_build"] = f"""
+WITH {ARTICLES}, {FIELD_TOKENS}
+SELECT field, count(*) AS postings, CAST(sum(tf) AS BIGINT) AS tokens, any_value(n_docs) AS n_docs,
+       round(any_value(avg_len), 6) AS avg_len FROM postings JOIN stats USING (field) GROUP BY field"""
+
 BM25 = f"""{FIELD_TOKENS},
 query_terms AS (
   SELECT DISTINCT item_id AS query_id, term FROM (SELECT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark)
