@@ -366,8 +366,13 @@ FROM silver LEFT JOIN embeddings ON vec_id = doc_id"""
 
 SQL["index_upsert"] = f"""
 WITH {SILVER}
+SELECT id, CASE WHEN label = 'negative' THEN 'Update: ' || title ELSE title END AS title, category,
+       strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, label AS sentiment_label FROM silver"""
+
+SQL["index_refresh"] = f"""
+WITH {SILVER}
 SELECT id, category, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, label AS sentiment_label
-FROM silver WHERE article_date IN (DATE '2024-01-01', DATE '2024-01-30')"""
+FROM silver WHERE article_date = DATE '2024-01-30'"""
 
 SQL["index_stats"] = "SELECT count(*) AS document_count, true AS has_bytes FROM documents"
 

@@ -498,13 +498,25 @@ def search_docs(spark, sf_dir):
 
 @query
 def index_upsert(spark, sf_dir):
-    """Index built day by day through the refresh job, read through the published view."""
-    root = scratch_path(spark, "index")
+    """All documents into the index, then a second version of the negative ones, read through the published view."""
+    path = scratch_path(spark, "index")
+    docs = index.to_search_doc(_silver_with_vectors(spark, sf_dir))
+    index.upsert_index(docs, path)
+    changed = docs.filter(F.col("sentiment_label") == "negative").withColumn("title", F.concat(F.lit("Update: "), "title"))
+    index.upsert_index(changed, path)
+    publish.publish(spark, "pressloom_index", path)
+    published = spark.table("pressloom_index")
+    return _dates_as_text(published.select("id", "title", "category", "published_at", "sentiment_label"))
+
+
+@query
+def index_refresh(spark, sf_dir):
+    """The refresh job for the last day, from silver stored by day, run twice."""
+    root = scratch_path(spark, "refresh")
     _write_silver(t.silver(spark, sf_dir), f"{root}/silver")
-    for day in (t.FIRST_DAY, t.LAST_DAY, t.LAST_DAY):
-        refresh_index(spark, f"{root}/silver", f"{root}/index", day, t.CATEGORIES)
-    publish.publish(spark, "pressloom_index", f"{root}/index")
-    docs = spark.table("pressloom_index")
+    for _ in range(2):
+        refresh_index(spark, f"{root}/silver", f"{root}/index", t.LAST_DAY, t.CATEGORIES)
+    docs = spark.read.parquet(f"{root}/index")
     return _dates_as_text(docs.select("id", "category", "published_at", "sentiment_label"))
 
 
