@@ -144,7 +144,9 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
     return top_n(scored, ["query_id"], [F.desc("score"), F.asc("id")], k)
 
 
+#: Requests whose vectors are held by a task at once, and those multiplied with a batch at once.
 QUERIES_PER_PASS = 2048
+QUERIES_PER_PRODUCT = 256
 
 
 def knn(
@@ -193,7 +195,7 @@ def _neighbours(rows, filters, k):
     matrix = np.array([row["qvec"] for row in rows], dtype=np.float64)
     norms = np.linalg.norm(matrix, axis=1)
     unit = matrix / np.where(norms > 0, norms, 1.0)[:, None]
-    tests = [[(name, row[name]) for name in filters if row[name] is not None] for row in rows]
+    tests = [tuple((name, row[name]) for name in filters if row[name] is not None) for row in rows]
     tested = {"category": "doc_category", "source": "doc_source", "sentiment": "doc_sentiment"}
 
     def admitted(batch, conditions):
@@ -206,6 +208,15 @@ def _neighbours(rows, filters, k):
                 keep &= published >= value if name == "date_from" else published <= value
         return keep
 
+    def best_of(scores, names):
+        if len(scores) <= k:
+            return scores, names
+        # All rows tied with the k-th stay until ids have settled the order.
+        contenders = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores, names = scores[contenders], names[contenders]
+        order = np.lexsort((names.astype(str), -scores))[:k]
+        return scores[order], names[order]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best_ids = [np.array([], dtype=object)] * len(query_ids)
         best_scores = [np.array([], dtype=np.float64)] * len(query_ids)
@@ -214,21 +225,21 @@ def _neighbours(rows, filters, k):
             block = listed.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
             lengths = np.linalg.norm(block, axis=1)
             usable = lengths > 0
-            cosine = np.round(unit @ (block / np.where(usable, lengths, 1.0)[:, None]).T, 9)
+            block /= np.where(usable, lengths, 1.0)[:, None]
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for nth, conditions in enumerate(tests):
-                if norms[nth] == 0:
-                    continue
-                keep = usable & admitted(batch, conditions) if conditions else usable
-                scores = np.concatenate([best_scores[nth], cosine[nth][keep]])
-                names = np.concatenate([best_ids[nth], ids[keep]])
-                if len(scores) > k:
-                    # All rows tied with the k-th stay until ids have settled the order.
-                    contenders = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-                    scores, names = scores[contenders], names[contenders]
-                    order = np.lexsort((names.astype(str), -scores))[:k]
-                    scores, names = scores[order], names[order]
-                best_scores[nth], best_ids[nth] = scores, names
+            masks = {(): usable}
+            for first in range(0, len(query_ids), QUERIES_PER_PRODUCT):
+                cosines = np.round(unit[first : first + QUERIES_PER_PRODUCT] @ block.T, 9)
+                for nth, cosine in enumerate(cosines, start=first):
+                    if norms[nth] == 0:
+                        continue
+                    conditions = tests[nth]
+                    if conditions not in masks:
+                        masks[conditions] = usable & admitted(batch, conditions)
+                    keep = masks[conditions]
+                    best_scores[nth], best_ids[nth] = best_of(
+                        np.concatenate([best_scores[nth], cosine[keep]]), np.concatenate([best_ids[nth], ids[keep]])
+                    )
         for nth, query_id in enumerate(query_ids):
             count = len(best_ids[nth])
             if count:
@@ -341,10 +352,10 @@ def search(
     )
     page = top_k(scored.drop("fused", "words"), RERANK_CANDIDATES)
     found = docs.drop("content_vector").join(request_side(requests, page), "id")
-    score = token_overlap(F.col("q"), field_texts(docs)) if scorer is None else scorer
-    plain = found.filter(~F.col("semantic"))
-    semantic = rerank(found.filter(F.col("semantic")), score)
-    return plain.unionByName(semantic).filter(F.col("rank") <= F.col("top"))
+    reranked = F.round(token_overlap(F.col("q"), field_texts(docs)) if scorer is None else scorer, SCORE_DIGITS)
+    # One ranking serves both kinds: requests without rerank keep their scores and thereby their order.
+    final = found.drop("rank").withColumn("score", F.when(F.col("semantic"), reranked).otherwise(F.col("score")))
+    return top_k(final, RERANK_CANDIDATES).filter(F.col("rank") <= F.col("top"))
 
 
 def search_report(requests: DataFrame, results: DataFrame, counts: DataFrame) -> DataFrame:
