@@ -11,22 +11,29 @@ from pressloom import schemas
 from pressloom.functions.paths import parse_bronze_path
 from pressloom.operators import enrich
 from pressloom.operators.matching import new_only
+from pressloom.session import small
 from pressloom.sources.files import Folder
 from pressloom.sources.tables import audit_rows, overwrite_partition, write_errors, write_partitioned
 
 Annotator = Callable[[DataFrame], DataFrame]
 
+#: References up to this many are broadcast to the bronze scan; more are joined by shuffling both.
+BROADCAST_WORK = 500_000
 
-def references(decoded: DataFrame) -> DataFrame:
-    """Decoded pending messages as article keys; the date is taken from the path."""
-    parsed = decoded.select("*", parse_bronze_path("blobPath").alias("_p"))
-    return parsed.filter(F.col("_p").isNotNull()).select(
+
+def references(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decoded pending messages as article keys, and the messages whose path names no valid day."""
+    parsed = decoded.select("*", parse_bronze_path("blobPath").alias("_p")).withColumn(
+        "article_date", F.col("_p.date_str").try_cast("date")
+    )
+    keyed = parsed.filter(F.col("article_date").isNotNull()).select(
         F.col("urlHash").alias("id"),
         "category",
-        F.col("_p.date_str").try_cast("date").alias("article_date"),
+        "article_date",
         F.col("blobPath").alias("blob_path"),
         F.col("ingestedAt").alias("ingested_at"),
     )
+    return keyed, parsed.filter(F.col("article_date").isNull()).select("blobPath", "urlHash", "category", "ingestedAt")
 
 
 def enrich_articles(
@@ -37,7 +44,8 @@ def enrich_articles(
     ``bronze`` holds one row per (category, article_date, id). ``annotator`` maps prepared articles to
     the annotation columns; replace it to run models through ``enrich.apply_model``.
     """
-    articles = work.join(bronze.drop("blob_path", "ingested_at"), ["category", "article_date", "id"])
+    side = F.broadcast(work) if small(work, BROADCAST_WORK) else work
+    articles = bronze.drop("blob_path", "ingested_at").join(side, ["category", "article_date", "id"])
     return enrich.build_silver(annotator(enrich.prepare(articles)), enriched_at)
 
 
@@ -57,13 +65,20 @@ def run_enrich(
     annotators run a single time. Repeating a batch finds its silver rows and adds nothing.
     """
     at = F.current_timestamp() if enriched_at is None else enriched_at
+    keyed, rejected = references(decoded)
+    overwrite_partition(rejected.withColumn("batch", F.lit(batch)), f"{work_root}/rejected", "batch", batch)
+    span = keyed.agg(F.min("article_date").alias("first"), F.max("article_date").alias("last")).first()
+    if span["first"] is None:
+        return {"enriched": 0}
+    # Bronze and silver are stored by day: read the days of this batch only.
+    in_span = F.col("article_date").between(F.lit(span["first"]), F.lit(span["last"]))
     known = (
         spark.read.schema(schemas.SILVER).parquet(silver_root)
         if Folder(spark, silver_root).exists()
         else spark.createDataFrame([], schemas.SILVER)
     )
-    work = new_only(references(decoded), known)
-    silver = enrich_articles(work, bronze, at, annotator).withColumn("batch", F.lit(batch))
+    work = new_only(keyed, known.filter(in_span))
+    silver = enrich_articles(work, bronze.filter(in_span), at, annotator).withColumn("batch", F.lit(batch))
     staged_root = f"{work_root}/enriched"
     written = overwrite_partition(silver, staged_root, "batch", batch)
     if not written:

@@ -139,7 +139,7 @@ def pending(spark, *paths):
 
 def test_job_end_to_end(spark):
     root = scratch_path(spark, "t")
-    work = pending(spark, *PATHS, PATHS[0], "science/2024-01-01/missing.json")
+    work = pending(spark, *PATHS, PATHS[0], "science/2024-01-01/missing.json", "science/unknown/a9.json")
     at = F.lit(datetime(2024, 1, 3)).cast("timestamp")
 
     def run(batch):
@@ -157,6 +157,7 @@ def test_job_end_to_end(spark):
     errors = spark.read.parquet(f"{root}/work/errors").collect()
     assert [(r["urlHash"], r["errorMeta"]["stage"], r["blobPath"]) for r in errors] == [("a2", "enrichment", "science/2024-01-01/a2.json")]
     assert spark.read.parquet(f"{root}/work/audit").count() == 3
+    assert {r["blobPath"] for r in spark.read.parquet(f"{root}/work/rejected").collect()} == {"science/unknown/a9.json"}
 
     summary = refresh_index(spark, f"{root}/silver", f"{root}/index", date(2024, 1, 1), ["science"])
     assert (summary["processed"], summary["succeeded"], summary["outcome"]) == (2, 2, 200)
