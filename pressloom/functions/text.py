@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # The patterns and limits article text is cleaned with.
 # \s differs between regex dialects, so the whitespace class is spelled out.
 WHITESPACE = r"[\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+VISIBLE = "[^" + WHITESPACE[1:]
+# Every whitespace run but a single space, which collapsing would replace by itself.
+COLLAPSIBLE = "(?:[" + WHITESPACE[1:-1].replace(" ", "") + "]" + WHITESPACE + "*| " + WHITESPACE + "+)"
 TRUNCATION_MARKER = WHITESPACE + r"*\[\+\d+ chars\]" + WHITESPACE + r"*\z"
 HTML_TAG = r"<[^>]+>"
 WORD = r"[\p{L}\p{N}]+"
@@ -43,7 +46,8 @@ def trim_all(col: Column | str) -> Column:
 
 
 def has_text(col: Column | str | None) -> Column:
-    return F.coalesce(F.length(trim_all(col)) > 0, F.lit(False))
+    """Whether there is anything but whitespace; stops at the first such character."""
+    return F.coalesce(_optional(col).rlike(VISIBLE), F.lit(False))
 
 
 def url_hash(url: Column | str) -> Column:
@@ -56,7 +60,7 @@ def clean_content(content: Column | str) -> Column:
     """Drop the trailing ``[+N chars]`` marker and tags, collapse whitespace."""
     unmarked = F.regexp_replace(_optional(content), TRUNCATION_MARKER, "")
     untagged = F.regexp_replace(unmarked, HTML_TAG, " ")
-    return F.trim(F.regexp_replace(untagged, WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(untagged, COLLAPSIBLE, " "))
 
 
 def text_source(content: Column | str, description: Column | str) -> Column:

@@ -26,7 +26,6 @@ from pressloom.functions.text import (
     content_truncated,
     embedding_input,
     extract_text,
-    has_text,
     source_name,
     tokenize,
     truncate_words,
@@ -70,10 +69,23 @@ def score_sentiment(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> C
 
     A share above the threshold on both sides is ``mixed``, else the largest score names the label.
     """
-    tokens = tokenize(text, ())
-    n_positive = F.size(F.filter(tokens, lambda t: t.isin(list(lexicon.positive))))
-    n_negative = F.size(F.filter(tokens, lambda t: t.isin(list(lexicon.negative))))
-    return sentiment_struct(n_positive, n_negative)
+
+    def count(tokens: Column, words: Sequence[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(list(words))))
+
+    def counts(tokens: Column) -> Column:
+        return F.struct(count(tokens, lexicon.positive).alias("p"), count(tokens, lexicon.negative).alias("n"))
+
+    counted = _once(tokenize(text, ()), counts)
+    return _once(counted, lambda c: sentiment_struct(c.p, c.n))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time.
+
+    Written out, a value used several times below a condition is computed as many times.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def sentiment_struct(n_positive: Column, n_negative: Column) -> Column:
@@ -283,7 +295,7 @@ def annotate(
         prepared = prepared.withColumn("text", truncate_words("text", max_chars))
     clustered = cluster_by_id(prepared)
     texts = clustered.select("id", "text")
-    readable = has_text("text")
+    readable = F.length("text") > 0
     error = F.when(~readable, F.lit(EMPTY_TEXT))
     status, message = combine_status(error, F.lit(True))
     scored = embed(clustered, dims).select(

@@ -34,6 +34,8 @@ def test_url_hash_trims(spark):
         (None, "", " Title ", "Title", "title"),
         (None, None, None, "", "title"),
         ("a [+9 chars] b", None, None, "a [+9 chars] b", "content"),
+        (" a  b \n c\td \u00a0e\u00a0f\n", None, None, "a b c d e f", "content"),
+        ("<br>", "d", None, "", "content"),
     ],
 )
 def test_extract_text(spark, content, description, title, expected, source):
