@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tools.compare import compare, connect
+from workloads.oracle import registry as oracle_sql
+from workloads.queries import registry as queries
 
 
 @pytest.fixture(scope="module")
