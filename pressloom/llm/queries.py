@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import mixing, packing
+from pressloom.llm import langid, mixing, packing
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -38,6 +38,12 @@ def op2_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
+def op8_identify_language(spark, sf_dir):
+    """Language of every document, by a network that learned from two thirds of them."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL = {
     "op1_mix_sources": r"""
 WITH sized AS (
