@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressloom.llm import langid, mixing, packing
+from pressloom.llm import langid, linededup, mixing, packing
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -38,6 +39,14 @@ def op2_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
+def op7_dedup_lines(spark, sf_dir):
+    """Lines of each document, lines removed as repeats, and what is left."""
+    left = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256")
+    return left.select("doc_id", "n_lines", "removed_lines", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("left_chars"), digest)
+
+
 @query
 def op8_identify_language(spark, sf_dir):
     """Language of every document, by a network that learned from two thirds of them."""
