@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import langid, linededup, mixing, packing
+from pressloom.llm import langid, linededup, mixing, neardup, packing
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -53,6 +53,12 @@ def op8_identify_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_near_duplicates(spark, sf_dir):
+    """Group of near-duplicates of each document, over shingles of four words."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4).drop("tie")
+
+
 ORACLE_SQL = {
     "op1_mix_sources": r"""
 WITH sized AS (
