@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import langid, linededup, mixing, neardup, packing
+from pressloom.llm import ann, langid, linededup, mixing, neardup, packing
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -39,6 +39,12 @@ def op2_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
+def op4_nearest_vectors(spark, sf_dir):
+    """The 20 nearest vectors found for every twentieth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_dedup_lines(spark, sf_dir):
     """Lines of each document, lines removed as repeats, and what is left."""
