@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import ann, langid, linededup, mixing, neardup, packing
+from pressloom.llm import ann, langid, linededup, mixing, neardup, packing, phrases
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -45,6 +45,12 @@ def op4_nearest_vectors(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_phrase_fingerprints(spark, sf_dir):
+    """Fingerprint of each document and of an edited copy, and how alike they are."""
+    return phrases.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_dedup_lines(spark, sf_dir):
     """Lines of each document, lines removed as repeats, and what is left."""
