@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import ann, langid, linededup, mixing, neardup, packing, phrases
+from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -45,6 +45,12 @@ def op4_nearest_vectors(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op5_scan_licenses(spark, sf_dir):
+    """Licenses that each document names or quotes."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_phrase_fingerprints(spark, sf_dir):
     """Fingerprint of each document and of an edited copy, and how alike they are."""
@@ -103,6 +109,7 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted
 """,
+    "op5_scan_licenses": licenses.oracle(),
 }
 
 
