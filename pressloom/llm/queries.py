@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases
+from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases, private
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -39,6 +39,12 @@ def op2_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query
+def op3_find_private(spark, sf_dir):
+    """Spans of personal data in each document."""
+    return private.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_nearest_vectors(spark, sf_dir):
     """The 20 nearest vectors found for every twentieth vector."""
