@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases, private
+from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases, private, scoring
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -77,6 +77,12 @@ def op8_identify_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_score_documents(spark, sf_dir):
+    """Log probability of each document under a count model and under the Pitman-Yor model."""
+    return scoring.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_near_duplicates(spark, sf_dir):
     """Group of near-duplicates of each document, over shingles of four words."""
