@@ -43,7 +43,8 @@ def line_chunks(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     long_line = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts) >= LONG_LINE
     rolling = hashes.copy()
     for back in range(1, WINDOW):
-        rolling[back:] += np.uint64(2 * back + 1) * mix64(hashes[:-back] + np.uint64(back))
+        same = number[back:] >= back  # the window does not reach into the text before
+        rolling[back:][same] += np.uint64(2 * back + 1) * mix64(hashes[:-back][same] + np.uint64(back))
     forced = last | long_line | np.append(long_line[1:], False)
     found = []
     for seed in range(CHUNKINGS):
