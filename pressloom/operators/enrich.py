@@ -135,16 +135,18 @@ def _as_entity(category: str) -> Callable[[Column], Column]:
 BROADCAST_NAMES = 1_000_000
 
 
-def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
+def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, max_words: int | None = None) -> DataFrame:
     """Name mentions: id, position, text, category, subcategory.
 
-    Joins the runs of up to ``max_words`` words of each text with gazetteer names, as written. Names
-    are unique on their side, so the join adds no rows. A gazetteer of bounded size is broadcast; for
+    Joins the word runs of each text with gazetteer names, as written; runs are as long as the longest
+    name unless ``max_words`` says less. Names are unique on their side, so the join adds no rows. A gazetteer of bounded size is broadcast; for
     a larger one the runs are shuffled and adaptive execution splits the frequent words.
     """
     names = gazetteer.dropDuplicates(["name"]).select("name", "category", "subcategory")
     if small(names, BROADCAST_NAMES):
         names = F.broadcast(names)
+    if max_words is None:
+        max_words = names.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 0
     words = df.select("id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
     runs = [
         F.transform(
@@ -155,6 +157,8 @@ def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, max_words: int = 3)
         )
         for n in range(1, max_words + 1)
     ]
+    if not runs:
+        runs = [F.array().cast("array<struct<position:int,name:string>>")]
     grams = words.select("id", F.explode(F.concat(*runs)).alias("g")).select("id", "g.position", "g.name")
     return grams.join(names, "name").select("id", "position", F.col("name").alias("text"), "category", "subcategory")
 
@@ -165,7 +169,7 @@ def _word_run(n: int) -> Callable[[Column], Column]:
     )
 
 
-def extract_entities(df: DataFrame, gazetteer: DataFrame | None = None, max_words: int = 3) -> DataFrame:
+def extract_entities(df: DataFrame, gazetteer: DataFrame | None = None, max_words: int | None = None) -> DataFrame:
     """``id, entities`` for articles with ``id, text``: pattern hits, then gazetteer names in text order."""
     if gazetteer is None:
         return df.select("id", pattern_entities("text").alias("entities"))
@@ -178,8 +182,8 @@ def extract_entities(df: DataFrame, gazetteer: DataFrame | None = None, max_word
     return joined.select("id", merged.alias("entities"))
 
 
+#: Phrases kept per article unless the caller says otherwise.
 PHRASES_PER_ARTICLE = 10
-MAX_PHRASE_WORDS = 5
 _BREAK = "|"
 
 
@@ -195,12 +199,12 @@ def candidate_phrases(text: Column | str, stop_words: Iterable[str] = STOP_WORDS
 
 
 def phrase_scores(
-    df: DataFrame, stop_words: Iterable[str] = STOP_WORDS, max_words: int | None = MAX_PHRASE_WORDS
+    df: DataFrame, stop_words: Iterable[str] = STOP_WORDS, max_words: int | None = None
 ) -> DataFrame:
     """RAKE (Rose et al. 2010): ``id, phrase, score`` for every candidate phrase of every article.
 
     A word scores degree / frequency, which is the mean length of the phrases it occurs in; a phrase
-    scores the sum over its words. ``df`` has ``id, text``, one row per article, and should be
+    scores the sum over its words. ``max_words`` drops longer phrases before scoring; by default none. ``df`` has ``id, text``, one row per article, and should be
     partitioned by id.
     """
     phrases = df.select("id", F.posexplode(candidate_phrases("text", stop_words)).alias("place", "phrase"))
@@ -217,7 +221,7 @@ def top_phrases(
     df: DataFrame,
     n: int = PHRASES_PER_ARTICLE,
     stop_words: Iterable[str] = STOP_WORDS,
-    max_words: int | None = MAX_PHRASE_WORDS,
+    max_words: int | None = None,
 ) -> DataFrame:
     """Best ``n`` phrases per article with their rank."""
     scored = phrase_scores(df, stop_words, max_words)
@@ -228,7 +232,7 @@ def extract_phrases(
     df: DataFrame,
     n: int = PHRASES_PER_ARTICLE,
     stop_words: Iterable[str] = STOP_WORDS,
-    max_words: int | None = MAX_PHRASE_WORDS,
+    max_words: int | None = None,
 ) -> DataFrame:
     """``id, keyPhrases`` with the best phrase first; articles without a phrase have no row."""
     ranked = top_phrases(df, n, stop_words, max_words)
@@ -270,14 +274,18 @@ def combine_status(sentiment_error: Column, has_result: Column) -> tuple[Column,
     return F.when(error.isNull(), F.lit("ok")).otherwise(F.lit("failed")), error
 
 
-def prepare(articles: DataFrame) -> DataFrame:
-    """Adds ``text, body_snippet, embedding_text`` to raw articles."""
+def prepare(articles: DataFrame, snippet_vectors: bool = False) -> DataFrame:
+    """Adds ``text, body_snippet, embedding_text`` to raw articles.
+
+    Vectors are made of title and whole text; ``snippet_vectors`` takes the display snippet, with the limits
+    of a hosted service, instead.
+    """
     text = extract_text("content", "description", "title")
     with_text = articles.withColumn("text", text)
     snippet = body_snippet("text")
-    return with_text.withColumn("body_snippet", snippet).withColumn(
-        "embedding_text", embedding_input("title", "body_snippet")
-    )
+    whole = F.concat_ws("\n\n", F.nullif("title", F.lit("")), F.nullif("text", F.lit("")))
+    with_snippet = with_text.withColumn("body_snippet", snippet)
+    return with_snippet.withColumn("embedding_text", embedding_input("title", "body_snippet") if snippet_vectors else whole)
 
 
 def annotate(
@@ -286,10 +294,12 @@ def annotate(
     gazetteer: DataFrame | None = None,
     dims: int = EMBEDDING_DIMS,
     max_chars: int | None = None,
+    phrases: int = PHRASES_PER_ARTICLE,
 ) -> DataFrame:
     """Built-in annotators over ``id, text, embedding_text, ...``, one row per article in and out.
 
     ``max_chars`` imposes the text limit of a hosted annotator; by default whole texts are read.
+    ``phrases`` is how many key phrases an article keeps.
     """
     if max_chars is not None:
         prepared = prepared.withColumn("text", truncate_words("text", max_chars))
@@ -308,7 +318,7 @@ def annotate(
         named = scored.withColumn("entities", pattern_entities("text"))
     else:
         named = scored.join(extract_entities(texts, gazetteer), "id", "left")
-    return named.join(extract_phrases(texts), "id", "left")
+    return named.join(extract_phrases(texts, phrases), "id", "left")
 
 
 def build_silver(annotated: DataFrame, enriched_at: Column) -> DataFrame:

@@ -35,9 +35,9 @@ def scan(tables: Mapping[str, DataFrame], scope: Mapping[str, tuple[Rule, ...]]
     return reduce(DataFrame.unionByName, labelled)
 
 
-def classification_report(labelled: DataFrame) -> DataFrame:
-    """Documents per layer and matched rule, with the sensitivity the rule carries."""
-    label_of = F.create_map(*[F.lit(x) for rule in RULES for x in (rule.name, rule.label)])
+def classification_report(labelled: DataFrame, rules: Sequence = RULES) -> DataFrame:
+    """Documents per layer and matched rule, with the sensitivity the rule carries; ``rules`` as given to the scan."""
+    label_of = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.label)])
     return (
         labelled.select("layer", F.explode_outer("labels").alias("rule"))
         .filter(F.col("rule").isNotNull())
@@ -77,21 +77,24 @@ def record_lineage(edges: DataFrame, path: str) -> None:
     edges.write.mode("append").parquet(path)
 
 
-def reachable(edges: DataFrame, start: str, max_hops: int = 16) -> DataFrame:
+def reachable(edges: DataFrame, start: str, max_hops: int | None = None) -> DataFrame:
     """Assets downstream of ``start`` with the least number of hops: ``asset, hops``.
 
-    One join per hop, against what is not yet found. Every frontier is checkpointed, so the plan does
-    not grow with the hops and a lost executor costs one of them.
+    One join per hop, against what is not yet found, until nothing new is found or ``max_hops`` is reached.
+    Links and frontiers are checkpointed, so the plan does not grow with the hops and a lost executor
+    costs one of them.
     """
     spark = edges.sparkSession
-    links = edges.select(F.col("input").alias("asset"), F.col("output").alias("next")).distinct()
+    links = reliable_checkpoint(edges.select(F.col("input").alias("asset"), F.col("output").alias("next")).distinct())
     frontier = spark.range(1).select(F.lit(start).alias("asset"), F.lit(0).alias("hops"))
     found = frontier
-    for hop in range(1, max_hops + 1):
+    hop = 0
+    while max_hops is None or hop < max_hops:
+        hop += 1
         step = links.join(frontier.select("asset"), "asset").select(F.col("next").alias("asset")).distinct()
         fresh = step.join(found.select("asset"), "asset", "left_anti")
         frontier = reliable_checkpoint(fresh.select("asset", F.lit(hop).alias("hops")))
         if frontier.isEmpty():
             break
-        found = found.unionAll(frontier)
+        found = reliable_checkpoint(found.unionAll(frontier)) if hop % 10 == 0 else found.unionAll(frontier)
     return found.filter(F.col("hops") > 0)

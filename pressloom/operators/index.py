@@ -155,10 +155,13 @@ def write_text_index(
     n_docs = F.lit(int(observation.get.get("n_docs") or 0))
     frequencies = term_frequencies(spark.read.parquet(f"{path}/postings"))
     frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
-    field_stats(spark.read.parquet(f"{path}/frequencies"), n_docs).write.mode("overwrite").parquet(f"{path}/stats")
-    return read_text_index(spark, path, buckets)
+    stats = field_stats(spark.read.parquet(f"{path}/frequencies"), n_docs).withColumn("buckets", F.lit(buckets))
+    stats.write.mode("overwrite").parquet(f"{path}/stats")
+    return read_text_index(spark, path)
 
 
-def read_text_index(spark: SparkSession, path: str, buckets: int = TERM_BUCKETS) -> TextIndex:
-    parts = [spark.read.parquet(f"{path}/{part}") for part in ("postings", "frequencies", "stats")]
-    return TextIndex(*parts, buckets)
+def read_text_index(spark: SparkSession, path: str) -> TextIndex:
+    """A stored index, read with the number of buckets it was written with."""
+    postings, frequencies, stats = [spark.read.parquet(f"{path}/{part}") for part in ("postings", "frequencies", "stats")]
+    row = stats.select("buckets").first()
+    return TextIndex(postings, frequencies, stats.drop("buckets"), row["buckets"] if row else TERM_BUCKETS)

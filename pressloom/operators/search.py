@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.scores import freshness
@@ -36,8 +36,8 @@ MAX_CANDIDATES = 100
 
 SCORE_DIGITS = 6
 
-#: Requests up to this many are broadcast, with up to a page of results each.
-BROADCAST_REQUESTS = 20_000
+#: Requests up to this many are broadcast, with up to 100 rows each.
+BROADCAST_REQUESTS = 2_000
 
 #: Request terms up to this many rows are broadcast; above it, joins shuffle and split frequent terms.
 BROADCAST_TERMS = 500_000
@@ -315,6 +315,23 @@ def total_counts(counts: DataFrame) -> DataFrame:
 WARNING = "Vector embedding failed - falling back to keyword search"
 
 
+def exact_ranks(requests: DataFrame, matches: DataFrame, listed: DataFrame) -> DataFrame:
+    """``query_id, id, rank, score`` of the listed (query_id, id) among all matches of their request.
+
+    Only counts leave the tasks: each match is placed between the listed ones of its request (100 at most),
+    and the rank of one is the number of matches placed no later.
+    """
+    own = listed.select("query_id", "id").join(matches.select("query_id", "id", "score"), ["query_id", "id"])
+    marks = own.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("low"), "id"))).alias("marks"))
+    placed = matches.select("query_id", F.struct((-F.col("score")).alias("low"), "id").alias("here")).join(request_side(requests, marks), "query_id")
+    counts = placed.select("query_id", F.size(F.filter("marks", lambda mark: mark < F.col("here"))).alias("place"))
+    counts = counts.groupBy("query_id", "place").agg(F.count(F.lit(1)).alias("n"))
+    every = marks.select("query_id", F.posexplode("marks").alias("place", "mark"))
+    so_far = Window.partitionBy("query_id").orderBy("place")
+    ranked = every.join(counts, ["query_id", "place"], "left").withColumn("rank", F.sum(F.coalesce("n", F.lit(0))).over(so_far))
+    return ranked.select("query_id", F.col("mark.id").alias("id"), F.col("rank").cast("int").alias("rank"), (-F.col("mark.low")).alias("score"))
+
+
 def search(
     requests: DataFrame,
     docs: DataFrame,
@@ -326,22 +343,25 @@ def search(
 
     One plan covers the mode matrix. A request that wants vectors and has one is hybrid, otherwise it
     is answered by keywords alone, with a warning if it wanted vectors. Semantic requests are
-    reranked over their best 50.
+    reranked over their best 50, which is also the longest page: asking for more is an error. A document
+    of the vector list keeps its keyword share however deep its keyword rank.
     """
+    page_rows = F.when(F.col("top") > RERANK_CANDIDATES, F.raise_error(F.lit(f"a page has at most {RERANK_CANDIDATES} rows")))
+    requests = requests.withColumn("top", page_rows.otherwise(F.col("top")))
     hybrid = F.col("vector") & F.col("qvec").isNotNull()
     modes = requests.select(
         "query_id", "q", "top", "semantic", hybrid.alias("hybrid"),
         F.when(F.col("vector") & F.col("qvec").isNull(), F.lit(WARNING)).alias("warning"),
     )
-    by_words = top_k(keyword_matches(requests, docs, as_of, index), MAX_CANDIDATES).filter(
-        F.col("rank") <= candidate_depth(F.col("top"))
-    )
+    matches = keyword_matches(requests, docs, as_of, index)
+    by_words = top_k(matches, MAX_CANDIDATES).filter(F.col("rank") <= candidate_depth(F.col("top")))
     vectors = _doc_attributes(docs, "content_vector")
     depth = requests.select("query_id", candidate_depth(F.col("top")).alias("depth"))
     by_vector = (
         knn(requests.filter(hybrid), vectors, MAX_CANDIDATES).join(depth, "query_id").filter(F.col("rank") <= F.col("depth"))
     )
-    both = by_words.select("query_id", "id", "rank", "score").unionAll(
+    deeper = exact_ranks(requests, matches, by_vector.join(by_words, ["query_id", "id"], "left_anti"))
+    both = by_words.select("query_id", "id", "rank", "score").unionAll(deeper).unionAll(
         by_vector.select("query_id", "id", "rank", F.lit(None).cast("double").alias("score"))
     )
     fused = both.groupBy("query_id", "id").agg(

@@ -55,8 +55,12 @@ def top_n(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int,
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row per key in ``order``, for example newest first: last write wins."""
-    return top_n(df, keys, order, 1, "_version").drop("_version")
+    """The first row per key in ``order``, for example newest first: last write wins.
+
+    Ties are settled by the rows' contents, so the winner does not depend on the order of the input.
+    """
+    contents = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return top_n(df, keys, [*order, F.xxhash64(*contents)], 1, "_version").drop("_version")
 
 
 def present(df: DataFrame, *order: str | Column) -> DataFrame:

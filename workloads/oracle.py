@@ -326,7 +326,7 @@ marked AS (
   FROM pieces WHERE w <> ''),
 runs AS (
   SELECT id, run, string_agg(w, ' ' ORDER BY pos) AS phrase, count(*) AS n FROM marked WHERE NOT is_break GROUP BY id, run),
-kept AS (SELECT * FROM runs WHERE n <= 5),
+kept AS (SELECT * FROM runs),
 kept_words AS (SELECT m.id, m.run, m.w, k.n FROM marked m JOIN kept k ON m.id = k.id AND m.run = k.run WHERE NOT is_break),
 weights AS (SELECT id, w, avg(n) AS weight FROM kept_words GROUP BY id, w),
 run_scores AS (SELECT k.id, k.run, sum(weight) AS score FROM kept_words k JOIN weights USING (id, w) GROUP BY k.id, k.run),
@@ -444,8 +444,7 @@ matches AS (
 SQL["rrf_hybrid"] = f"""
 WITH {SILVER}, {BM25}, {MATCHES},
 by_words AS (
-  SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM matches
-  QUALIFY rank <= 50),
+  SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM matches),
 cosines AS (
   SELECT query_id, d.id, round(list_cosine_similarity(qvec, CAST(embedding AS DOUBLE[])), 9) AS s
   FROM requests, silver d JOIN embeddings ON vec_id = doc_id

@@ -423,7 +423,7 @@ def _gazetteer(spark, sf_dir):
 @query
 def entities_extract(spark, sf_dir):
     texts = t.articles(spark, sf_dir).select("id", "text")
-    found = enrich.extract_entities(enrich.cluster_by_id(texts), _gazetteer(spark, sf_dir), max_words=2)
+    found = enrich.extract_entities(enrich.cluster_by_id(texts), _gazetteer(spark, sf_dir))
     listed = F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e.category, e.text)), "|")
     return found.select("id", listed.alias("entities"), pii.has_pii("entities").alias("has_pii"))
 
@@ -556,14 +556,14 @@ def _build_index(spark, sf_dir):
 
 def _stored_index(spark, sf_dir):
     path = _index_path(spark, sf_dir)
-    return spark.read.parquet(f"{path}/docs"), index.read_text_index(spark, f"{path}/terms", BUCKETS)
+    return spark.read.parquet(f"{path}/docs"), index.read_text_index(spark, f"{path}/terms")
 
 
 @query
 def index_build(spark, sf_dir):
     """The whole index build: documents stored, texts analysed, postings and statistics stored."""
     path = _built[(spark.sparkContext.applicationId, sf_dir)] = _build_index(spark, sf_dir)
-    found = index.read_text_index(spark, f"{path}/terms", BUCKETS)
+    found = index.read_text_index(spark, f"{path}/terms")
     per_field = found.postings.groupBy("field").agg(F.count(F.lit(1)).alias("postings"), F.sum("tf").alias("tokens"))
     return per_field.join(found.stats, "field").select(
         "field", "postings", "tokens", "n_docs", F.round("avg_len", 6).alias("avg_len")
