@@ -33,18 +33,18 @@ def validate_queries(requests: DataFrame, categories: Sequence[str] = CATEGORIES
         return F.length(column) > 0
 
     def one_of(values: Sequence[str]) -> str:
-        return "must be one of: " + ", ".join(values)
+        return "not among " + ", ".join(values)
 
     rules: list[tuple[Column, str]] = [
-        (q == "", 'Query parameter "q" is required'),
-        (F.length(q) > MAX_QUERY_CHARS, f'Query parameter "q" must be {MAX_QUERY_CHARS} characters or fewer'),
-        (top.isNull() | (top < 1), '"top" must be a positive integer'),
-        (top > MAX_TOP, f'"top" cannot exceed {MAX_TOP}'),
-        (given(category) & ~category.isin(list(categories)), f'"category" {one_of(categories)}'),
-        (given(sentiment) & ~sentiment.isin(list(SENTIMENT_LABELS)), f'"sentiment" {one_of(SENTIMENT_LABELS)}'),
-        (given(first) & ~first.rlike(ISO_DATE), '"from" must be in YYYY-MM-DD format'),
-        (given(last) & ~last.rlike(ISO_DATE), '"to" must be in YYYY-MM-DD format'),
-        (given(first) & given(last) & (first > last), '"from" cannot be later than "to"'),
+        (q == "", 'q: missing or blank'),
+        (F.length(q) > MAX_QUERY_CHARS, f'q: longer than {MAX_QUERY_CHARS} characters'),
+        (top.isNull() | (top < 1), 'top: not a whole number above zero'),
+        (top > MAX_TOP, f'top: more than {MAX_TOP}'),
+        (given(category) & ~category.isin(list(categories)), f'category: {one_of(categories)}'),
+        (given(sentiment) & ~sentiment.isin(list(SENTIMENT_LABELS)), f'sentiment: {one_of(SENTIMENT_LABELS)}'),
+        (given(first) & ~first.rlike(ISO_DATE), 'date_from: not YYYY-MM-DD'),
+        (given(last) & ~last.rlike(ISO_DATE), 'date_to: not YYYY-MM-DD'),
+        (given(first) & given(last) & (first > last), 'date_from: later than date_to'),
     ]
     error = F.coalesce(*[F.when(broken, F.lit(message)) for broken, message in rules])
     empty = F.lit("")

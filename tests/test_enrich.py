@@ -206,3 +206,28 @@ def test_search_document(spark):
     assert [(d["id"], d["entities"], d["key_phrases"], d["published_at"]) for d in docs] == [
         ("x", ["Apple"], [], datetime(2024, 1, 15, 10))
     ]
+
+
+def test_phrases_of_any_length_are_scored(spark):
+    long = "big red shiny old wooden sailing boats drifting slowly"
+    found = enrich.top_phrases(texts(spark, {"a": f"{long}. boats win"})).collect()
+    assert [r["phrase"] for r in found] == [long, "boats win"]
+    # "boats" is in phrases of nine and two words, "win" in one of two.
+    assert [r["score"] for r in found] == [8 * 9 + 5.5, 5.5 + 2]
+
+
+def test_names_of_any_length_are_found(spark):
+    names = spark.createDataFrame([("Federal Reserve Bank of New York", "Organization", None)], "name string, category string, subcategory string")
+    found = enrich.gazetteer_mentions(texts(spark, {"a": "The Federal Reserve Bank of New York met.", "b": "Federal Reserve Bank"}), names)
+    assert [(r["id"], r["text"]) for r in found.collect()] == [("a", "Federal Reserve Bank of New York")]
+    assert enrich.gazetteer_mentions(texts(spark), names.limit(0)).count() == 0
+
+
+def test_ties_do_not_depend_on_input_order(spark):
+    rows = [("h", "t1", "catA", "p1"), ("h", "t1", "catB", "p2"), ("h", "t2", "catC", "p0")]
+    stored = spark.createDataFrame([], "rowKey string")
+    winners = set()
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        events = spark.createDataFrame(order, "url_hash string, ingested_at string, category string, path string").coalesce(1)
+        winners |= {r["category"] for r in matching.drop_seen(events, stored).collect()}
+    assert len(winners) == 1 and winners <= {"catA", "catB"}

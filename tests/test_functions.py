@@ -27,11 +27,11 @@ def test_url_hash_trims(spark):
 @pytest.mark.parametrize(
     "content, description, title, expected, source",
     [
-        ("Hello world [+1234 chars]", None, None, "Hello world", "content"),
-        ("<p>Hello</p><b>world</b>", None, None, "Hello world", "content"),
-        ("<ul><li>one</li>\r\n<li>two</li></ul> [+1200 chars]", None, None, "one two", "content"),
-        ("  ", " Desc ", "t", "Desc", "description"),
-        (None, "", " Title ", "Title", "title"),
+        ("Rates rose again [+77 chars]", None, None, "Rates rose again", "content"),
+        ("<h1>Harbour</h1><i>reopens</i>", None, None, "Harbour reopens", "content"),
+        ("<tr><td>left</td>\r\n<td>right</td></tr> [+31 chars]", None, None, "left right", "content"),
+        ("\t ", "  a summary ", "t", "a summary", "description"),
+        (None, " ", " a headline\n", "a headline", "title"),
         (None, None, None, "", "title"),
         ("a [+9 chars] b", None, None, "a [+9 chars] b", "content"),
         (" a  b \n c\td \u00a0e\u00a0f\n", None, None, "a b c d e f", "content"),
@@ -44,7 +44,7 @@ def test_extract_text(spark, content, description, title, expected, source):
     assert one(spark, text.text_source("c", "d"), **values) == source
 
 
-@pytest.mark.parametrize("content, expected", [("abc [+50 chars]", True), ("abc", False), (None, False)])
+@pytest.mark.parametrize("content, expected", [("cut off [+8 chars]", True), ("whole [8 chars]", False), (None, False)])
 def test_content_truncated(spark, content, expected):
     assert one(spark, text.content_truncated("c"), c=content) is expected
 

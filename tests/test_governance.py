@@ -32,3 +32,15 @@ def test_lineage(spark):
 def test_reachable_handles_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "input string, output string")
     assert {(r["asset"], r["hops"]) for r in governance.reachable(edges, "a").collect()} == {("b", 1), ("c", 2)}
+
+
+def test_reachable_follows_long_chains(spark):
+    edges = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(40)], "input string, output string")
+    assert {(r["asset"], r["hops"]) for r in governance.reachable(edges, "a0").collect()} == {(f"a{i}", i) for i in range(1, 41)}
+    assert governance.reachable(edges, "a0", max_hops=3).count() == 3
+
+
+def test_report_takes_the_rules_of_the_scan(spark):
+    labelled = spark.createDataFrame([("bronze", ["own rule"])], "layer string, labels array<string>")
+    rule = RULES[0]._replace(name="own rule") if hasattr(RULES[0], "_replace") else type(RULES[0])(**{**vars(RULES[0]), "name": "own rule"})
+    assert governance.classification_report(labelled, [rule]).first()["sensitivity"] == rule.label

@@ -441,8 +441,7 @@ matches AS (
   FROM bm25 b JOIN requests r USING (query_id) JOIN fresh d ON d.id = b.id
   WHERE NOT odd OR (category = 'en' AND published_at >= TIMESTAMP '2024-01-05'))"""
 
-SQL["rrf_hybrid"] = f"""
-WITH {SILVER}, {BM25}, {MATCHES},
+HYBRID = f"""
 by_words AS (
   SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM matches),
 cosines AS (
@@ -457,10 +456,13 @@ fused AS (
   GROUP BY query_id, id),
 scored AS (
   SELECT query_id, id, round(CASE WHEN qvec IS NULL THEN words ELSE fused END, 6) AS score, qvec IS NULL AS no_vector
-  FROM fused JOIN requests USING (query_id))
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score,
+  FROM fused JOIN requests USING (query_id)),
+page AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score,
        CASE WHEN no_vector THEN 'Vector embedding failed - falling back to keyword search' END AS warning
-FROM scored QUALIFY rank <= 10"""
+FROM scored QUALIFY rank <= 10)"""
+
+SQL["rrf_hybrid"] = f"WITH {SILVER}, {BM25}, {MATCHES}, {HYBRID} SELECT * FROM page"
 
 SQL["rerank"] = f"""
 WITH {ARTICLES}, {BM25},
@@ -474,16 +476,29 @@ hits AS (
 scored AS (SELECT query_id, id, round(h / (n * 4.0::DOUBLE), 6) AS score FROM hits JOIN wanted USING (query_id))
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scored"""
 
-SQL["facets"] = f"""
-WITH {SILVER}, {BM25}, {MATCHES},
+FACETS = f"""
 counted AS (
   SELECT query_id, 'category' AS facet, category AS value, count(*) AS n, 10 AS keep FROM matches GROUP BY ALL
   UNION ALL
   SELECT query_id, 'sentiment_label', label, count(*), 5 FROM matches WHERE label IS NOT NULL GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, facet ORDER BY n DESC, value) AS rank FROM counted)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, facet ORDER BY n DESC, value) AS rank FROM counted)"""
+
+SQL["facets"] = f"""
+WITH {SILVER}, {BM25}, {MATCHES}, {FACETS}
 SELECT query_id, facet, value, n, rank FROM ranked WHERE rank <= keep
 UNION ALL SELECT query_id, 'total', '', count(*), 1 FROM matches GROUP BY query_id"""
 
+SQL["search_report"] = f"""
+WITH {SILVER}, {BM25}, {MATCHES}, {HYBRID}, {FACETS},
+pages AS (SELECT query_id, string_agg(id, '|' ORDER BY rank) AS ids FROM page GROUP BY query_id),
+faceted AS (
+  SELECT query_id, string_agg(concat_ws(':', facet, value, n), '|' ORDER BY facet, rank) AS facets FROM ranked
+  WHERE rank <= keep GROUP BY query_id),
+totals AS (SELECT query_id, count(*) AS count FROM matches GROUP BY query_id)
+SELECT query_id, qvec IS NOT NULL AS vector, coalesce(count, 0) AS count, ids, facets,
+       CASE WHEN qvec IS NULL THEN 'Vector embedding failed - falling back to keyword search' END AS warning
+FROM requests LEFT JOIN totals USING (query_id) LEFT JOIN pages USING (query_id) LEFT JOIN faceted USING (query_id)"""
+
 SQL["filter_docs"] = f"""
 WITH {SILVER}
 SELECT 1.0::DOUBLE AS score, id, url, source, category, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS "publishedAt",
@@ -503,13 +518,13 @@ SELECT query_id, q,
        CASE k WHEN 5 THEN 'positive' WHEN 8 THEN 'happy' END AS sentiment, k IN (5, 6) AS semantic, k NOT IN (5, 6) AS vector,
        CASE k WHEN 5 THEN '2024-01-01' WHEN 9 THEN '15-01-2024' WHEN 11 THEN '2024-02-01' END AS date_from,
        CASE k WHEN 5 THEN '2024-01-31' WHEN 10 THEN '2024/01/01' WHEN 11 THEN '2024-01-01' END AS date_to,
-       CASE WHEN q = '' THEN 'Query parameter "q" is required'
-            WHEN length(q) > 500 THEN 'Query parameter "q" must be 500 characters or fewer'
-            WHEN k IN (3, 4) THEN '"top" must be a positive integer' WHEN k = 2 THEN '"top" cannot exceed 50'
-            WHEN k = 7 THEN '"category" must be one of: en, fr, de, es'
-            WHEN k = 8 THEN '"sentiment" must be one of: positive, negative, neutral, mixed'
-            WHEN k = 9 THEN '"from" must be in YYYY-MM-DD format' WHEN k = 10 THEN '"to" must be in YYYY-MM-DD format'
-            WHEN k = 11 THEN '"from" cannot be later than "to"' END AS error
+       CASE WHEN q = '' THEN 'q: missing or blank'
+            WHEN length(q) > 500 THEN 'q: longer than 500 characters'
+            WHEN k IN (3, 4) THEN 'top: not a whole number above zero' WHEN k = 2 THEN 'top: more than 50'
+            WHEN k = 7 THEN 'category: not among en, fr, de, es'
+            WHEN k = 8 THEN 'sentiment: not among positive, negative, neutral, mixed'
+            WHEN k = 9 THEN 'date_from: not YYYY-MM-DD' WHEN k = 10 THEN 'date_to: not YYYY-MM-DD'
+            WHEN k = 11 THEN 'date_from: later than date_to' END AS error
 FROM raw"""
 
 _PHONE_RULE, _EMAIL_RULE, _PII_RULE = RULES[2].name, RULES[3].name, RULES[0].name
