@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import maybe_broadcast, stage
@@ -112,7 +112,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``node`` and its whole ``shingles`` (sorted 64-bit hashes) for classes of ``wanted`` (node, rep, low, high)."""
+    """``node`` and its whole ``shingles`` (sorted as unsigned 64-bit hashes) for classes of ``wanted`` (node, rep, low, high)."""
     side = maybe_broadcast(wanted, wanted.count())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "low", "high", "text")
 
@@ -126,10 +126,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 low, high = set_names(hashes, places)
                 own = batch.slice(a, b - a)
                 same = (low == own.column("low").to_numpy()) & (high == own.column("high").to_numpy())
-                bodies = [hashes[places[i] : places[i + 1]].tobytes() for i in np.flatnonzero(same)]
-                yield pa.RecordBatch.from_arrays([own.column("node").filter(pa.array(same)), pa.array(bodies, pa.binary())], names=["node", "shingles"])
+                lists = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([own.column("node"), lists], names=["node", "shingles"]).filter(pa.array(same))
 
-    return rows.mapInArrow(compute, "node long, shingles binary").dropDuplicates(["node"])
+    return rows.mapInArrow(compute, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,8 +138,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def check(batches):
         for batch in batches:
             keep = []
-            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+            for i in range(batch.num_rows):
+                x, y = [batch.column(side)[i].values.to_numpy().view(np.uint64) for side in ("left", "right")]
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -156,10 +156,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     """``doc_id``, ``tie`` (hash of the text), ``n_shingles``, ``component_id``, ``kept`` of every row.
 
     Rows with equal shingle sets are one class from the start. Classes that share a band of their
-    sketches meet in a bucket. A bucket first checks all members against one of them, drawn anew in each
-    round, which joins a group of copies with as many checks as members. Members still apart
-    are then checked pair by pair unless already connected, so no link between components is
-    lost, and the members of a connected group are never paired with each other.
+    sketches meet in a bucket; those with too few shingles in common with any other class leave it. A
+    bucket checks all members against one of them, drawn anew in each round, which joins a group of copies
+    with as many checks as members. Members still apart are then paired by their rarest shingles, an
+    exact filter, unless already connected, so no link between groups is lost and the members of a
+    connected group are never paired with each other.
 
     A text that is null or has no word has an empty set and stands alone; with fewer words than a
     shingle the whole sequence is one. component_id is the smallest doc_id of the group (null ids last;
@@ -180,12 +181,54 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     return joined.select("doc_id", "tie", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _promising(members: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members that can have a link in their bucket at all, with ``shared``: shingles that other classes have, too.
+
+    An intersection is no larger than ``shared``, and no other member is smaller than the smallest of the bucket.
+    """
+    seen = sets.select("node", F.explode("shingles").alias("shingle"))
+    alone = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    shared = wanted.select("node", "n").join(alone, "node", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    least = members.groupBy("bucket").agg(F.min("n").alias("least"))
+    able = members.join(shared, "node").join(least, "bucket").where((100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("least")))
+    able = stage(able.drop("least"), "near-able")
+    left = able.groupBy("bucket").agg(F.min("node").alias("_one"), F.max("node").alias("_other")).where("_one < _other").select("bucket")
+    return stage(able.join(left, "bucket"), "near-able")
+
+
+def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of nodes of different groups that may be near, as ``x``, ``y``, ``nx``, ``ny``.
+
+    In one order of all shingles, rarest first, two near sets must share one among their first n - least
+    overlap + 1, and what follows it must still hold the overlap that their sizes ask for. Within a
+    shingle only members outside its largest group are paired, with all others not of their own.
+    """
+    seen = sets.join(apart, "node").select("node", "n", "root", F.explode("shingles").alias("shingle"))
+    times = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    order = Window.partitionBy("node").orderBy("times", "shingle")
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # A shingle nobody else has takes its place in the order but meets no one.
+    heads = seen.join(times, "shingle").withColumn("left", F.col("n") - F.row_number().over(order) + 1)
+    heads = heads.where((F.col("n") - F.col("left") < length) & (F.col("times") > 1)).drop("times")
+    heads = stage(heads, "near-heads")
+    groups = heads.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = groups.groupBy("shingle").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("groups"))
+    heads = heads.join(largest.where("groups > 1").drop("groups"), "shingle")
+    one = heads.where("root <> largest").select("shingle", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("left").alias("lx"))
+    other = heads.select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("left").alias("ly"))
+    enough = (100 + percent) * F.least("lx", "ly") >= percent * (F.col("nx") + F.col("ny"))
+    return one.join(other, (one["shingle"] == other["shingle"]) & (F.col("rx") != F.col("ry")) & enough).select("x", "y", "nx", "ny")
+
+
 def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     spread = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("_one"), F.max("node").alias("_other")).where("_one < _other").select("bucket")
     members = stage(spread.join(shared, "bucket"), "near-buckets")
-    wanted = members.select("node").distinct().join(classes.select("node", "rep", "low", "high"), "node")
-    sets = stage(full_sets(docs, stage(wanted, "near-wanted"), k), "near-sets")
+    wanted = members.select("node").distinct().join(classes.select("node", "rep", "low", "high", "n"), "node")
+    wanted = stage(wanted, "near-wanted")
+    sets = stage(full_sets(docs, wanted, k), "near-sets")
+    members = _promising(members, wanted, sets, percent)
     links = tested = None
     for round_ in range(STAR_ROUNDS + 1):
         labelled = members
@@ -194,7 +237,9 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         else:
             labelled = members.withColumn("root", F.col("node"))
         labelled = stage(labelled, "near-labelled")
-        head = F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("draw"), "node", "root", "n"))
+        # First the member with the largest part of its set in others, which is the likeliest to be near to many.
+        draw = F.xxhash64("node", F.lit(round_)) if round_ else -F.col("shared") / F.col("n")
+        head = F.min(F.struct(draw.alias("draw"), "node", "root", "n"))
         buckets = labelled.groupBy("bucket").agg(head.alias("head"), F.min("root").alias("_one"), F.max("root").alias("_other"))
         buckets = buckets.where("_one < _other").drop("_one", "_other")
         if round_ < STAR_ROUNDS:
@@ -202,9 +247,8 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
                 F.col("node").alias("x"), F.col("head.node").alias("y"), F.col("n").alias("nx"), F.col("head.n").alias("ny")
             )
         else:
-            apart = labelled.join(buckets.select("bucket"), "bucket")
-            other = apart.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("n").alias("ny"))
-            found = apart.join(other, "bucket").where("root < ry").select(F.col("node").alias("x"), "y", F.col("n").alias("nx"), "ny")
+            apart = labelled.join(buckets.select("bucket"), "bucket").select("node", "n", "root").distinct()
+            found = _prefix_pairs(stage(apart, "near-apart"), sets, percent)
         # No similarity can exceed the ratio of the sizes.
         pairs = found.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
