@@ -25,6 +25,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def returning_memory(function):
+    """A batch function whose worker, kept for other tasks, gives freed memory back when it is done."""
+
+    def run(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only for a counted frame; above the bound the same join shuffles."""
     return F.broadcast(df) if rows <= limit else df
