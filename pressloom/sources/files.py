@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -11,6 +13,7 @@ class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.run = uuid.uuid4().hex[:12]
         jvm = spark._jvm
         self._as_path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._as_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -31,9 +34,9 @@ class Folder:
 
     @property
     def staging(self) -> str:
-        """Sibling for the new content; the leading underscore hides it from readers of the parent."""
+        """Sibling for the new content, of this writer alone; the leading underscore hides it from readers of the parent."""
         parent, _, name = self.path.rpartition("/")
-        return f"{parent}/_staging.{name}"
+        return f"{parent}/_staging.{name}.{self.run}"
 
     @property
     def previous(self) -> str:

@@ -6,6 +6,7 @@ batch, so a batch that is repeated after a failure replaces its first attempt.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,7 +171,7 @@ def consume(
         overwrite_partition(again.withColumn("batch", F.lit(retry)), f"{work_root}/pending", "batch", retry)
 
     return (
-        pending.writeStream.queryName("consume")
+        pending.writeStream.queryName(f"consume_{uuid.uuid4().hex[:12]}")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(handle)
         .trigger(availableNow=True)
