@@ -22,7 +22,7 @@ from pressloom.operators.enrich import cluster_by_id
 from pressloom.operators.index import FIELD_WEIGHTS, TextIndex, field_texts, term_bucket, text_index
 from pressloom.operators.requests import day_end, day_start, filter_matches
 from pressloom.operators.select import top_n
-from pressloom.session import small
+from pressloom.session import scratch_path, small
 
 # Parameters of the published formulas: BM25 (Robertson & Zaragoza 2009), RRF (Cormack et al. 2009).
 BM25_K1 = 1.2
@@ -139,6 +139,17 @@ def keyword_matches(
     )
 
 
+def stored_matches(
+    requests: DataFrame, docs: DataFrame, as_of: Column, index: TextIndex | None = None
+) -> DataFrame:
+    """:func:`keyword_matches`, scored once and kept in the shared folder for pages, ranks and facets."""
+    spark = requests.sparkSession
+    path = scratch_path(spark, "matches")
+    matches = keyword_matches(requests, docs, as_of, index)
+    matches.write.parquet(path)
+    return spark.read.schema(matches.schema).parquet(path)
+
+
 def top_k(scored: DataFrame, k: int) -> DataFrame:
     """Best ``k`` documents per request, ties by id."""
     return top_n(scored, ["query_id"], [F.desc("score"), F.asc("id")], k)
@@ -338,13 +349,15 @@ def search(
     as_of: Column,
     index: TextIndex | None = None,
     scorer: Column | None = None,
+    matches: DataFrame | None = None,
 ) -> DataFrame:
     """Result pages of valid requests: ``query_id, rank, score``, document fields and ``warning``.
 
     One plan covers the mode matrix. A request that wants vectors and has one is hybrid, otherwise it
     is answered by keywords alone, with a warning if it wanted vectors. Semantic requests are
     reranked over their best 50, which is also the longest page: asking for more is an error. A document
-    of the vector list keeps its keyword share however deep its keyword rank.
+    of the vector list keeps its keyword share however deep its keyword rank. ``matches`` are the stored
+    keyword matches, if something else needs them as well; without, they are stored here.
     """
     page_rows = F.when(F.col("top") > RERANK_CANDIDATES, F.raise_error(F.lit(f"a page has at most {RERANK_CANDIDATES} rows")))
     requests = requests.withColumn("top", page_rows.otherwise(F.col("top")))
@@ -353,7 +366,8 @@ def search(
         "query_id", "q", "top", "semantic", hybrid.alias("hybrid"),
         F.when(F.col("vector") & F.col("qvec").isNull(), F.lit(WARNING)).alias("warning"),
     )
-    matches = keyword_matches(requests, docs, as_of, index)
+    if matches is None:
+        matches = stored_matches(requests, docs, as_of, index)
     by_words = top_k(matches, MAX_CANDIDATES).filter(F.col("rank") <= candidate_depth(F.col("top")))
     vectors = _doc_attributes(docs, "content_vector")
     depth = requests.select("query_id", candidate_depth(F.col("top")).alias("depth"))

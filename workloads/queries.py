@@ -656,8 +656,9 @@ def facets(spark, sf_dir):
 def search_report(spark, sf_dir):
     asked = _open_requests(spark, sf_dir)
     docs, stored = _stored_index(spark, sf_dir)
-    results = search.search(asked, docs, _as_of(), stored)
-    counts = search.facet_counts(search.keyword_matches(asked, docs, _as_of(), stored))
+    matches = search.stored_matches(asked, docs, _as_of(), stored)
+    results = search.search(asked, docs, _as_of(), stored, matches=matches)
+    counts = search.facet_counts(matches)
     report = search.search_report(asked, results, counts)
     ids = F.array_join(F.transform("results", lambda r: r.id), "|")
     facet = F.array_join(F.transform("facets", lambda f: F.concat_ws(":", f.facet, f.value, f.n.cast("string"))), "|")
