@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import maybe_broadcast, stage
+from pressloom.llm.common import maybe_broadcast, returning_memory, stage
 from pressloom.llm.graphs import components
 from pressloom.llm.words import Powers, chunks, mix64, text_bytes, word_hashes
 
@@ -15,8 +15,9 @@ from pressloom.llm.words import Powers, chunks, mix64, text_bytes, word_hashes
 SHINGLE, PERCENT = 5, 80
 #: At similarity 0.8 two sketches share none of 40 bands of 6 coordinates with probability 5e-6.
 BANDS, ROWS = 40, 6
-#: Rounds in which every bucket checks its members against one of them before pairs are listed.
-STAR_ROUNDS = 3
+#: Rounds in which every bucket checks its members against one of them, and the share of checks that must
+#: confirm a link for another such round; what is left is paired by rare shingles.
+STAR_ROUNDS, STAR_YIELD = 3, 0.1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, powers: Powers):
@@ -108,7 +109,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    return rows.mapInArrow(compute, "doc_id long, tie long, n long, low long, high long, bands array<long>")
+    return rows.mapInArrow(returning_memory(compute), "doc_id long, tie long, n long, low long, high long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -129,7 +130,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([own.column("node"), lists], names=["node", "shingles"]).filter(pa.array(same))
 
-    return rows.mapInArrow(compute, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.mapInArrow(returning_memory(compute), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -149,7 +150,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
     sides = sides.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-    return sides.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
+    return sides.select("a", "b", "left", "right").mapInArrow(returning_memory(check), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -230,7 +231,8 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     sets = stage(full_sets(docs, wanted, k), "near-sets")
     members = _promising(members, wanted, sets, percent)
     links = tested = None
-    for round_ in range(STAR_ROUNDS + 1):
+    stars, round_ = STAR_ROUNDS, 0
+    while True:
         labelled = members
         if links is not None:
             labelled = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -242,7 +244,7 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         head = F.min(F.struct(draw.alias("draw"), "node", "root", "n"))
         buckets = labelled.groupBy("bucket").agg(head.alias("head"), F.min("root").alias("_one"), F.max("root").alias("_other"))
         buckets = buckets.where("_one < _other").drop("_one", "_other")
-        if round_ < STAR_ROUNDS:
+        if stars:
             found = labelled.join(buckets, "bucket").where("root <> head.root").select(
                 F.col("node").alias("x"), F.col("head.node").alias("y"), F.col("n").alias("nx"), F.col("head.n").alias("ny")
             )
@@ -254,13 +256,16 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "near-pairs")
-        if pairs.isEmpty():
-            if round_ < STAR_ROUNDS:
-                continue
+        checks, confirms = pairs.count(), 0
+        if checks:
+            new = stage(confirmed(pairs, sets, percent), "near-links")
+            confirms = new.count()
+            links = new if links is None else links.unionByName(new)
+            tested = pairs if tested is None else tested.unionByName(pairs)
+        if not stars:
             break
-        new = stage(confirmed(pairs, sets, percent), "near-links")
-        links = new if links is None else links.unionByName(new)
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        stars = stars - 1 if confirms > STAR_YIELD * checks else 0
+        round_ += 1
     return links if links is not None else members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
 
 
