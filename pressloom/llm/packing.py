@@ -7,16 +7,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import maybe_broadcast, stage
+from pressloom.llm.common import maybe_broadcast, returning_memory, stage
 
 LENGTH = 2048
 END_ID = 1
 #: Words whose ids a worker remembers, twice over.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -42,6 +43,7 @@ class WordIds:
         self.cached = cached
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.marks = {mark: np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, "<u4").tobytes() for mark in ("", ".", ",")}
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -51,33 +53,50 @@ class WordIds:
             kept[path] = cls(path)
         return kept[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        out, first = [], 0
-        while first < len(split):
-            last, seen = first + 1, len(split[first])
-            while last < len(split) and seen < 200_000:
-                seen += len(split[last])
-                last += 1
-            wanted = set().union(*split[first:last])
-            if len(self.young) > self.cached:
-                self.old, self.young = self.young, {}
-            young, old = self.young, self.old
-            missing = []
-            for chunk in wanted - young.keys():
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the n + 1 places where the texts begin."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        number = words.indices.to_numpy()
+        found = self._ids(words.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        flat = ids[np.repeat(starts[number] - ends[:-1], each) + np.arange(ends[-1])]
+        return flat, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        if len(self.young) > self.cached:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = []
+        for chunk in chunks:
+            if chunk not in young:
                 ids = old.get(chunk)
                 if ids is None:
                     missing.append(chunk)
                 else:
                     young[chunk] = ids
-            if missing:
-                for chunk, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    young[chunk] = np.array(found.ids, "<u4").tobytes()
-            for chunks in split[first:last]:
-                out.append(b"".join([young[chunk] for chunk in chunks]))
-            first = last
-        return out
+        plain = [_plain(chunk) for chunk in missing]
+        new = list({core for core, _ in plain} - young.keys())
+        if new:
+            for core, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                young[core] = np.array(found.ids, "<u4").tobytes()
+        for chunk, (core, mark) in zip(missing, plain):
+            young[chunk] = young[core] + self.marks[mark]
+        return [young[chunk] for chunk in chunks]
+
+
+def _plain(chunk: str) -> tuple[str, str]:
+    """A chunk without a stop or comma after its last letter, in lower case if it is all ASCII letters.
+
+    The tokenizer lower-cases and parts letters from marks by itself, so the ids stay the same.
+    """
+    mark = chunk[-1:] if chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha() else ""
+    core = chunk[:-1] if mark else chunk
+    return core.lower() if core.isascii() and core.isalpha() else core, mark
 
 
 def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -86,7 +105,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     ``doc_id``, ``part``, ``local`` (tokens before it in the partition), ``doc_tokens`` and ``ids``, packed
     as unsigned numbers of 16 bits where all ids fit, else of 32, told by ``wide``.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def encode(batches):
         part, local = TaskContext.get().partitionId(), 0
@@ -94,10 +113,10 @@ def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 some = batch.slice(first, 1000)
-                texts = [t or "" for t in some.column("text").to_pylist()]
+                ids, places = words.encode(some.column("text").fill_null(""))
                 rows, lengths, wide = [], [], []
-                for ids in words.encode(texts):
-                    numbers = np.frombuffer(ids + end, "<u4")
+                for a, b in zip(places[:-1], places[1:]):
+                    numbers = np.append(ids[a:b], end)
                     lengths.append(len(numbers))
                     wide.append(bool(numbers.max() >= 1 << 16))
                     rows.append(numbers.tobytes() if wide[-1] else numbers.astype("<u2").tobytes())
@@ -109,7 +128,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                     names=["doc_id", "part", "local", "doc_tokens", "wide", "ids"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, part int, local long, doc_tokens long, wide boolean, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(returning_memory(encode), "doc_id long, part int, local long, doc_tokens long, wide boolean, ids binary")
 
 
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -151,7 +170,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
                     [pa.array(v, pa.list_(pa.int32()) if k == "ids" else pa.int64()) for k, v in out.items()], names=list(out)
                 )
 
-    return placed.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")
+    return placed.mapInArrow(returning_memory(cut), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
