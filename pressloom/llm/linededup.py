@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from pressloom.llm.common import stage
+from pressloom.llm.common import returning_memory, stage
 from pressloom.llm.words import Powers, chunks, mix64, span_hashes, text_bytes, word_spans
 
 #: Lines the rolling hash looks at, chunkings tried, and a chance of 1 in this of a boundary after a line.
@@ -93,7 +93,7 @@ def _scan(docs: DataFrame, wanted=None) -> DataFrame:
                     names=["chunk", "check", *_KEY, "first", "last", *["body"][: len(bodies)]],
                 )
 
-    return _keyed(docs).mapInArrow(cut, fields + ", body binary" if wanted is not None else fields)
+    return _keyed(docs).mapInArrow(returning_memory(cut), fields + ", body binary" if wanted is not None else fields)
 
 
 def _filter(spark: SparkSession, repeated: DataFrame):
@@ -164,7 +164,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     schema = StructType([StructField("row", whole.schema["row"].dataType), StructField("_text", docs.schema["text"].dataType)])
     for name in added:
         schema = schema.add(name, "long")
-    rebuilt = joined.select("row", "_text", "spans").mapInArrow(rebuild, schema)
+    rebuilt = joined.select("row", "_text", "spans").mapInArrow(returning_memory(rebuild), schema)
 
     def column(name):
         if name.lower() == "text":
