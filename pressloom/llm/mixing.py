@@ -77,16 +77,12 @@ _ADDED = ("size", "source_size", "target", "copies", "taken")
 
 def mix_sizes(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """As :func:`mix`, without carrying the texts: ``doc_id``, ``source`` and the added columns."""
-    sized = stage(
-        docs.select(
-            F.col("doc_id").alias("_doc"),
-            F.col("source").alias("_source"),
-            n_words(F.col("text")).alias("_size"),
-            F.xxhash64("text").alias("_tie"),
-        ),
-        "mix-sized",
-    )
-    return _mixed(sized, weights, max_epochs, seed).select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), *_ADDED)
+    return _mixed(_sized(docs), weights, max_epochs, seed).select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), *_ADDED)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    columns = [F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie")]
+    return stage(docs.select(*columns), "mix-sized")
 
 
 def _mixed(sized: DataFrame, weights, max_epochs: int, seed: str) -> DataFrame:
@@ -116,9 +112,16 @@ def _mixed(sized: DataFrame, weights, max_epochs: int, seed: str) -> DataFrame:
 
 
 def mixture(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
-    """The mix itself: each row of ``docs`` as many times as :func:`mix` takes it, with its own columns."""
-    columns = [c for c in docs.columns]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "doc_id", "source", "text")
-    mixed = mix(packed, weights, max_epochs, seed)
-    repeated = mixed.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns])
+    """The mix itself: each row of ``docs`` as many times as it is taken, with its own columns.
+
+    Copies are planned on ids and sizes; the texts meet the plan once, where they are read if the plan is small
+    enough to broadcast. Rows equal in doc_id and text cannot be told apart and are taken equally often,
+    the mean of their copies.
+    """
+    planned = _mixed(_sized(docs), weights, max_epochs, seed).groupBy("_doc", "_tie").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
+    planned = stage(planned.where("_copies > 0"), "mix-plan")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_tie"))
+    taken = rows.join(maybe_broadcast(planned, planned.count()), same)
+    repeated = taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
+    return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
