@@ -23,8 +23,8 @@ def line_chunks(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     """All chunks of all texts: text number, first line, last line, two hashes, begin and end byte.
 
     A boundary stands after a line if the rolling hash of the last ``WINDOW`` line hashes falls on it.
-    The same lines are thus cut alike wherever they stand. Several chunkings overlap, so that a passage
-    of few lines is likely to hold a whole chunk of one of them.
+    The same lines are thus cut alike wherever they stand. A passage of few lines may hold no whole chunk of
+    any chunking, so the shortest runs from and to each line, see :func:`short_runs`, are chunks as well.
     """
     n = len(offsets) - 1
     breaks = np.flatnonzero(data == 10)
@@ -40,7 +40,8 @@ def line_chunks(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     number = np.arange(len(texts)) - first_line[texts]
     hashes = span_hashes(data, starts, ends, powers)
     word_starts, _, _ = word_spans(data, offsets)
-    long_line = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts) >= LONG_LINE
+    words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
+    long_line = words >= LONG_LINE
     rolling = hashes.copy()
     for back in range(1, WINDOW):
         same = number[back:] >= back  # the window does not reach into the text before
@@ -54,6 +55,7 @@ def line_chunks(data: np.ndarray, offsets: np.ndarray, powers: Powers):
         wanted = (to - since + 1 >= MIN_LINES) | (long_line[to] & (seed == 0))
         since, to = since[wanted], to[wanted]
         found.append((since, to))
+    found.append(short_runs(words, texts))
     since, to = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
     # Chunkings often agree; the same span counts once.
     _, once = np.unique(since * np.int64(len(texts) + 1) + to, return_index=True)
@@ -63,6 +65,24 @@ def line_chunks(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     return texts[since], number[since], number[to], low, high, starts[since], ends[to]
 
 
+def short_runs(words: np.ndarray, texts: np.ndarray):
+    """First and last line of the shortest run from each line, and of the shortest one to each line, that has two
+    lines with words and ``LONG_LINE`` words; ``words`` and ``texts`` are each line's words and text number.
+
+    What depends on nothing outside the run: a repeated passage of that size holds, for each of its lines with
+    words, the run to it or the one from the passage's first line, so together they cover all of it.
+    """
+    line = np.flatnonzero(words)
+    text, before, own = texts[line], np.append(0, np.cumsum(words[line])), np.arange(len(line))
+    to = np.maximum(np.searchsorted(before, before[:-1] + LONG_LINE) - 1, own + 1)
+    since = np.minimum(np.searchsorted(before, before[1:] - LONG_LINE, side="right") - 1, own - 1)
+    first, last = np.concatenate([own, since]), np.concatenate([to, own])
+    inside = (first >= 0) & (last < len(line))
+    first, last = first[inside], last[inside]
+    same = text[first] == text[last]
+    return line[first[same]], line[last[same]]
+
+
 _KEY = ("doc_id", "tie")
 
 
@@ -70,9 +90,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").where(F.col("text") != "")
 
 
-def _scan(docs: DataFrame, wanted=None) -> DataFrame:
-    """A row per chunk; with a filter (broadcast bits), only chunks it may hold, and their bytes."""
-    fields = "chunk long, check long, doc_id long, tie long, first int, last int"
+def _scan(docs: DataFrame, wanted=None, bodies: bool = False) -> DataFrame:
+    """``chunk`` of every chunk; with a filter (broadcast bits), the chunks it may hold and their places or bytes."""
+    fields = "chunk long"
+    if wanted is not None:
+        fields += ", check long, doc_id long, tie long, first int, last int" + (", body binary" if bodies else "")
 
     def cut(batches):
         powers = Powers()
@@ -81,19 +103,20 @@ def _scan(docs: DataFrame, wanted=None) -> DataFrame:
             for a, b in chunks(offsets, 4 << 20):
                 base = offsets[a]
                 text, first, last, low, high, begin, end = line_chunks(data[base : offsets[b]], offsets[a : b + 1] - base, powers)
-                bodies = []
-                if wanted is not None:
-                    bit = low & np.uint64(FILTER_BITS - 1)
-                    kept = (wanted.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    text, first, last, low, high, begin, end = [x[kept] for x in (text, first, last, low, high, begin, end)]
-                    bodies = [pa.array([data[base + x : base + y].tobytes() for x, y in zip(begin, end)], pa.binary())]
+                if wanted is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64))], names=["chunk"])
+                    continue
+                bit = low & np.uint64(FILTER_BITS - 1)
+                kept = (wanted.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                text, first, last, low, high, begin, end = [x[kept] for x in (text, first, last, low, high, begin, end)]
+                body = [pa.array([data[base + x : base + y].tobytes() for x, y in zip(begin, end)], pa.binary())] if bodies else []
                 own = pa.array(text + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), batch.column("doc_id").cast(pa.int64()).take(own), batch.column("tie").take(own), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), *bodies],
-                    names=["chunk", "check", *_KEY, "first", "last", *["body"][: len(bodies)]],
+                    [pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), batch.column("doc_id").cast(pa.int64()).take(own), batch.column("tie").take(own), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), *body],
+                    names=["chunk", "check", *_KEY, "first", "last", *["body"][: len(body)]],
                 )
 
-    return _keyed(docs).mapInArrow(returning_memory(cut), fields + ", body binary" if wanted is not None else fields)
+    return _keyed(docs).mapInArrow(returning_memory(cut), fields)
 
 
 def _filter(spark: SparkSession, repeated: DataFrame):
@@ -111,19 +134,19 @@ def _filter(spark: SparkSession, repeated: DataFrame):
 def removals(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``tie`` and ``spans`` (first and last line) of all that goes from each document.
 
-    Three steps: hashes of all chunks; bytes of chunks whose hash repeats, grouped by hash and compared;
-    every occurrence of a chunk but the first by (doc_id, text hash, line) goes. Two hashes of 64 bits
+    Three scans: hashes of all chunks, counted; bytes of chunks whose hash repeats, grouped by hash and compared;
+    their places, of which all but the first by (doc_id, text hash, line) go. Two hashes of 64 bits
     name a chunk; should chunks with equal names differ in bytes, they stay.
     """
-    found = stage(_scan(docs), "lines-chunks")
-    repeated = found.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = _scan(docs).groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = _filter(docs.sparkSession, repeated)
     place = F.struct(F.coalesce("doc_id", F.lit(1 << 62)).alias("doc_id"), "tie", "first").alias("place")
-    bodies = _scan(docs, _filter(docs.sparkSession, repeated)).select("chunk", "check", place, "body")
+    bodies = _scan(docs, wanted, bodies=True).select("chunk", "check", place, "body")
     same = bodies.groupBy("chunk", "check").agg(
         F.count(F.lit(1)).alias("n"), F.min("place").alias("kept"), F.min("body").alias("low"), F.max("body").alias("high")
     )
     same = stage(same.where("n > 1 AND low = high").select("chunk", "check", "kept"), "lines-repeated")
-    gone = found.withColumn("place", place).join(same, ["chunk", "check"]).where(F.col("place") != F.col("kept"))
+    gone = _scan(docs, wanted).withColumn("place", place).join(same, ["chunk", "check"]).where(F.col("place") != F.col("kept"))
     return gone.groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
@@ -131,7 +154,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """Documents without the lines of repeated chunks, and ``n_lines``, ``removed_lines`` of each.
 
     A chunk is a run of two or more whole lines, or one line of 50 words or more. The first occurrence
-    by doc_id (null last) stays; the others lose their lines, the rest keeps its order. ``text`` and, if
+    by doc_id (null last) stays; the others lose their lines, the rest keeps its order. Every repeated run of
+    two lines with words and 50 words in all goes, whatever stands around it, save wordless lines at its rim;
+    shorter ones go where the rolling hash happens to cut them out. ``text`` and, if
     there, ``n_chars`` are those of what is left; added columns replace columns of the same name.
     Null and empty texts pass as they are (0 lines); rows equal in doc_id and text are treated alike;
     a document of which nothing is left keeps its row, with an empty text. An empty table stays empty.

@@ -60,6 +60,45 @@ def test_long_passages_go_from_all_but_one(spark):
     assert all(set(before[i].split("\n")) - set(block) - {line} <= set(found[i]["text"].split("\n")) for i in range(60))
 
 
+def repeats(texts):
+    """(doc_id, line) of every line in a run of two lines with words and 50 words that stands earlier, too."""
+    earlier, gone = set(), set()
+    for doc_id, text in sorted(texts):
+        lines = text.split("\n")
+        sizes = [len(line.split()) for line in lines]
+        for first in range(len(lines)):
+            for last in range(first + 1, len(lines)):
+                if sizes[first] and sizes[last] and sum(sizes[first : last + 1]) >= 50:
+                    run = tuple(lines[first : last + 1])
+                    if run in earlier:
+                        gone |= {(doc_id, i) for i in range(first, last + 1)}
+                    earlier.add(run)
+    return gone
+
+
+def test_all_repeated_passages_of_few_lines_go(spark):
+    """Against all whole-line repeats, not against the operator's own chunks."""
+    rng = np.random.default_rng(4)
+
+    def own(sizes):
+        return [" ".join(f"w{rng.integers(10**9)}" for _ in range(n)) for n in sizes]
+
+    passages = [own([30, 25]), own([49, 1]), own([1, 49]), own([20, 20, 15]), own([40, 10, 5]), own([5, 10, 40]), own([25, 0, 30]), own([49, 49]), own([60, 0, 0, 0, 60]), own([13, 13, 13, 13]), own([9] * 11)]
+    rows, inside = [], []
+    for i in range(20 * len(passages)):
+        before, after = own(rng.integers(0, 15, rng.integers(0, 5))), own(rng.integers(0, 15, rng.integers(0, 5)))
+        passage = passages[i % len(passages)]
+        rows.append((i, "\n".join(before + passage + after)))
+        inside += [(i, len(before) + n) for n in range(len(passage)) if i >= len(passages)]
+    expected = repeats(rows)
+    assert set(inside) <= expected
+    found = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, text in rows:
+        left = [line for i, line in enumerate(text.split("\n")) if (doc_id, i) not in expected]
+        # Blank lines alone may go as shorter repeats.
+        assert [line for line in found[doc_id].split("\n") if line] == [line for line in left if line]
+
+
 def test_awkward_rows(awkward, awkward_rows, empty):
     found = linededup.dedup_lines(awkward)
     rows = found.collect()
