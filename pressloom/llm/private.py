@@ -25,12 +25,18 @@ PATTERNS = {
 }
 _SPACE = r"\x20\x09-\x0D"
 _TOKEN = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+# Groups of digits, some in round brackets, with up to three spaces, dots and hyphens between two of them.
+_GROUP = r"(?:[0-9]++(?![\p{L}@_])|\([0-9]++\))"
+_RUN = rf"(?<![\p{{L}}0-9@_+])\+?+{_GROUP}(?:[\x20.-]{{0,3}}+{_GROUP})++"
+#: Numbers of the kinds that are candidates after the rules' matches, and digits a run may have.
+TOKEN, RUN, RUN_DIGITS = len(KINDS), len(KINDS) + 1, (4, 19)
 
 
 def _hits(text: Column, kind: int, pattern: str) -> Column:
     """array<struct<kind, place, gap, value, left, right>> of all matches; gap is what lies before one."""
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    marks = rf"[^{_SPACE}A-Za-z0-9]*" if kind == RUN else ""
     zipped = F.arrays_zip(pieces.alias("piece"), found.alias("value"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("next"))
 
     def look(hit, place):
@@ -39,7 +45,7 @@ def _hits(text: Column, kind: int, pattern: str) -> Column:
             place.alias("place"),
             F.length(hit["piece"]).alias("gap"),
             hit["value"].alias("value"),
-            F.lower(F.regexp_extract(F.right(hit["piece"], F.lit(REACH)), rf"([^{_SPACE}]+)[{_SPACE}]+$", 1)).alias("left"),
+            F.lower(F.regexp_extract(F.right(hit["piece"], F.lit(REACH)), rf"([^{_SPACE}]+)[{_SPACE}]+{marks}$", 1)).alias("left"),
             F.lower(F.regexp_extract(F.left(hit["next"], F.lit(REACH)), rf"^[^{_SPACE}]*[{_SPACE}]+([^{_SPACE}]+)", 1)).alias("right"),
         )
 
@@ -74,30 +80,37 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _apart(marked: Column) -> Column:
+    """Whether a span overlaps none of the marked ones of its row."""
+    # The farthest end of a marked span that begins no later, and the next one's start.
+    along = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.when(marked, F.col("end"))).over(along)
+    following = F.min(F.when(marked, F.col("start"))).over(back)
+    return (F.coalesce(reached, F.lit(0)) <= F.col("start")) & (F.coalesce(following, F.col("end")) >= F.col("end"))
+
+
 def occurrences(rows: DataFrame) -> DataFrame:
     """``row``, ``start``, ``end``, ``kind``, ``value``, ``left``, ``right``: valid matches of the rules, and, with null
-    kind, tokens with a digit or an @ that overlap none of them, without the marks around them."""
+    kind, what overlaps none of them: runs of digit groups that have 4 to 19 digits, and, apart from those, tokens
+    with a digit or an @, without the marks around them."""
     hits = rows.select("row", F.explode("hits").alias("hit")).select("row", "hit.*")
     before = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("value")).over(before).cast("int")
     hits = hits.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    token = F.col("kind") == len(KINDS)
+    token, run, rule = F.col("kind") == TOKEN, F.col("kind") == RUN, F.col("kind") < len(KINDS)
     lead = F.length(F.regexp_extract("value", "^[^A-Za-z0-9+]*+", 0))
     tail = F.length(F.regexp_extract("value", "(?<![^A-Za-z0-9])[^A-Za-z0-9]*+$", 0))
     hits = hits.withColumn("lead", F.when(token, lead).otherwise(0)).withColumn("tail", F.when(token, tail).otherwise(0))
     hits = hits.withColumn("value", F.substr("value", F.col("lead") + 1, F.greatest(F.length("value") - F.col("lead") - F.col("tail"), F.lit(0))))
     hits = hits.withColumn("start", F.col("start") + F.col("lead")).withColumn("end", F.col("end") - F.col("tail"))
-    valid = F.lit(False)
+    valid = F.length(_digits(F.col("value"))).between(*RUN_DIGITS)
     for number, kind in enumerate(KINDS):
         valid = F.when(F.col("kind") == number, _valid(kind, F.col("value"))).otherwise(valid)
     hits = hits.where(F.when(token, F.col("end") > F.col("start")).otherwise(valid))
-    # The farthest end of a rule's match that begins no later, and the next one's start.
-    along = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    back = Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.max(F.when(~token, F.col("end"))).over(along)
-    following = F.min(F.when(~token, F.col("start"))).over(back)
-    hits = hits.withColumn("free", (F.coalesce(reached, F.lit(0)) <= F.col("start")) & (F.coalesce(following, F.col("end")) >= F.col("end")))
-    return hits.where(~token | F.col("free")).select("row", "start", "end", F.when(~token, F.col("kind")).alias("kind"), "value", "left", "right")
+    hits = hits.withColumn("free", _apart(rule)).where(rule | F.col("free"))
+    hits = hits.withColumn("free", _apart(run)).where(~token | F.col("free"))
+    return hits.select("row", "start", "end", F.when(rule, F.col("kind")).alias("kind"), "value", "left", "right")
 
 
 def _fits(kind: Column, value: Column) -> Column:
@@ -130,8 +143,10 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (rules), ``base_sha256``, ``spans`` and ``n_found``
     (added). Contexts are the word before, the word after, and both. Seeds are the rules' values; over some
-    rounds patterns and values score each other; a token with a digit or @ that stands in a pattern of
-    high confidence, and could be of its kind, is added. Nothing the rules found is taken away and added
+    rounds patterns and values score each other; a token with a digit or @, or a run of digit groups with spaces,
+    dots, hyphens and round brackets between them, that stands in a pattern of high confidence, and could be of its
+    kind, is added. A run is one candidate with the words around all of it; of runs of more than 19 digits, as of
+    several numbers in a row, only the tokens are candidates. Nothing the rules found is taken away and added
     spans never overlap them.
 
     Null text is empty: no spans, and the hash of the empty string. Every row stands for itself; repeated
@@ -144,7 +159,8 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     body, digits = F.col("body"), F.col("body").rlike("[0-9]")
     none = F.expr("cast(array() as array<struct<kind:int,place:int,gap:int,value:string,left:string,right:string>>)")
     parts = [F.when(hint.get(kind, digits), _hits(body, number, PATTERNS[kind])).otherwise(none) for number, kind in enumerate(KINDS)]
-    parts.append(F.when(digits | hint["email"], _hits(body, len(KINDS), _TOKEN)).otherwise(none))
+    parts.append(F.when(digits | hint["email"], _hits(body, TOKEN, _TOKEN)).otherwise(none))
+    parts.append(F.when(digits, _hits(body, RUN, _RUN)).otherwise(none))
     rows = stage(read.select("row", "doc_id", F.concat(*parts).alias("hits")), "private-rows")
 
     every = stage(occurrences(rows), "private-spans")

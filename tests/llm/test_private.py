@@ -65,6 +65,30 @@ def test_contexts_reveal_identifiers(spark):
     assert found[101] == "" and found[102] == ""
 
 
+def test_identifiers_of_several_tokens(spark):
+    rows = [(i, f"word{i} dial +1 (212) 555-{2000 + i} today") for i in range(60)]
+    rows += [(60 + i, f"text{i} card {luhn_number(i)} used") for i in range(20)]
+    phones = ["(017) 555-7713", "415 555 1234", "415.555.1234", "(017)555-7713", "(017) 555 77 13", "017 - 555 - 7713", "1 (212) 555-2368"]
+    rows += [(100 + i, f"please dial {phone} today") for i, phone in enumerate(phones)]
+    rows += [(200 + i, f'please dial "{phone}", today') for i, phone in enumerate(phones)]
+    rows += [(300, "my card 4111 1111 1111 1112 used"), (301, "rows 415 555 1234 of 12 34"), (302, "dial tone 415 555 1234")]
+    found = {r["doc_id"]: r["spans"] for r in private.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, phone in enumerate(phones):
+        assert found[100 + i] == f"phone:12:{12 + len(phone)}", phone
+        assert found[200 + i] == f"phone:13:{13 + len(phone)}", phone
+    assert found[300] == "card:8:27"
+    assert found[301] == found[302] == ""
+
+
+def luhn_number(i):
+    return next(n for n in range(4111111111110000 + 100 * i, 4111111111120000) if luhn(str(n)))
+
+
+def test_runs_take_no_quadratic_time(spark):
+    texts = ["1 1 " * 20_000 + "1a", "(1" * 40_000, "(1)" * 30_000, "1.-" * 30_000 + "x", "+" * 90_000, "1 2a " * 20_000, "(" + "1" * 80_000]
+    assert private.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == len(texts)
+
+
 def test_no_text_takes_quadratic_time(spark):
     texts = ["a" * 100_000, "1" * 60_000, "1 " * 30_000, "a@" * 20_000, "1." * 30_000, "+1-" * 20_000]
     assert private.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == len(texts)
