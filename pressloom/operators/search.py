@@ -155,7 +155,7 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
     return top_n(scored, ["query_id"], [F.desc("score"), F.asc("id")], k)
 
 
-#: Requests whose vectors are held by a task at once, and those multiplied with a batch at once.
+#: Requests whose vectors are held by a task (or the driver) at once, and those multiplied with a batch at once.
 QUERIES_PER_PASS = 2048
 QUERIES_PER_PRODUCT = 256
 
@@ -167,9 +167,9 @@ def knn(
 
     ``vectors`` has ``id, content_vector`` and, if requests carry filters, the attributes they test.
     Each task multiplies its Arrow batches with the request matrix and keeps its best ``k`` per
-    request; the shuffle sees only those. The request matrix is the broadcast side: it is read in
-    passes of at most ``queries_per_pass`` requests, so its size is bounded whatever the number of
-    requests, and every request is answered.
+    request. Up to ``queries_per_pass`` requests travel with the tasks, and the shuffle sees only results.
+    More of them are dealt by hash into blocks of about that size, and every block meets every vector in
+    the tasks: the shuffle holds the vectors once per block, the driver no request, and every request is answered.
     """
     asked = requests.filter(F.col("qvec").isNotNull())
     filters = [c for c in _FILTERS if c in requests.columns]
@@ -181,16 +181,23 @@ def knn(
     passes = max(1, -(-asked.count() // queries_per_pass))
     candidates = vectors.filter(F.col("content_vector").isNotNull()).select("id", "content_vector", *attributes)
 
-    found = []
-    for nth in range(passes):
-        part = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == nth) if passes > 1 else asked
-        rows = part.select(*columns).collect()
-        if rows:
-            found.append(candidates.mapInArrow(_neighbours(rows, filters, k), "query_id bigint, id string, score double"))
-    if not found:
-        nothing = requests.select("query_id", F.lit("").alias("id"), F.lit(0.0).alias("score")).filter(F.lit(False))
-        return top_k(nothing, k)
-    return top_k(reduce(DataFrame.unionAll, found), k)
+    schema = "query_id bigint, id string, score double"
+    if passes == 1:
+        found = candidates.mapInArrow(_neighbours(asked.select(*columns).collect(), filters, k), schema)
+        return top_k(found, k)
+    # Few blocks are repeated, each time for a part of the vectors, so that there is work for all tasks.
+    deals = -(-int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")) // passes)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(passes)).cast("int")
+    deal = F.pmod(F.xxhash64("id"), F.lit(deals)).cast("int")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    questions = asked.select(block.alias("block"), each(deals).alias("deal"), F.lit(False).alias("candidate"), *columns)
+    answers = candidates.select(each(passes).alias("block"), deal.alias("deal"), F.lit(True).alias("candidate"), "*")
+    met = questions.unionByName(answers, allowMissingColumns=True).repartition("block", "deal")
+    met = met.sortWithinPartitions("block", "deal", "candidate")
+    return top_k(met.mapInArrow(_meetings(filters, k), schema), k)
 
 
 def _filter_column(name: str) -> Column:
@@ -200,13 +207,8 @@ def _filter_column(name: str) -> Column:
     return F.unix_micros(day_end(F.col(name))) if name == "date_to" else F.col(name)
 
 
-def _neighbours(rows, filters, k):
-    """Batch function for one pass: cosine of all its requests with a batch, best ``k`` kept per request."""
-    query_ids = [row["query_id"] for row in rows]
-    matrix = np.array([row["qvec"] for row in rows], dtype=np.float64)
-    norms = np.linalg.norm(matrix, axis=1)
-    unit = matrix / np.where(norms > 0, norms, 1.0)[:, None]
-    tests = [tuple((name, row[name]) for name in filters if row[name] is not None) for row in rows]
+def _nearest(filters, k):
+    """``start(rows)`` for the requests of a block: a function that takes candidates, and one that gives results."""
     tested = {"category": "doc_category", "source": "doc_source", "sentiment": "doc_sentiment"}
 
     def admitted(batch, conditions):
@@ -228,10 +230,16 @@ def _neighbours(rows, filters, k):
         order = np.lexsort((names.astype(str), -scores))[:k]
         return scores[order], names[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start(rows):
+        query_ids = [row["query_id"] for row in rows]
+        matrix = np.array([row["qvec"] for row in rows], dtype=np.float64)
+        norms = np.linalg.norm(matrix, axis=1)
+        unit = matrix / np.where(norms > 0, norms, 1.0)[:, None]
+        tests = [tuple((name, row[name]) for name in filters if row[name] is not None) for row in rows]
         best_ids = [np.array([], dtype=object)] * len(query_ids)
         best_scores = [np.array([], dtype=np.float64)] * len(query_ids)
-        for batch in batches:
+
+        def take(batch):
             listed = batch.column("content_vector")
             block = listed.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
             lengths = np.linalg.norm(block, axis=1)
@@ -251,17 +259,68 @@ def _neighbours(rows, filters, k):
                     best_scores[nth], best_ids[nth] = best_of(
                         np.concatenate([best_scores[nth], cosine[keep]]), np.concatenate([best_ids[nth], ids[keep]])
                     )
-        for nth, query_id in enumerate(query_ids):
-            count = len(best_ids[nth])
-            if count:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([query_id] * count, pa.int64()),
-                        pa.array(best_ids[nth], pa.string()),
-                        pa.array(best_scores[nth], pa.float64()),
-                    ],
-                    ["query_id", "id", "score"],
-                )
+
+        def results() -> Iterator[pa.RecordBatch]:
+            for nth, query_id in enumerate(query_ids):
+                count = len(best_ids[nth])
+                if count:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([query_id] * count, pa.int64()),
+                            pa.array(best_ids[nth], pa.string()),
+                            pa.array(best_scores[nth], pa.float64()),
+                        ],
+                        ["query_id", "id", "score"],
+                    )
+
+        return take, results
+
+    return start
+
+
+def _neighbours(rows, filters, k):
+    """Batch function for one block: cosine of all its requests with a batch, best ``k`` kept per request."""
+    start = _nearest(filters, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not rows:
+            return
+        take, results = start(rows)
+        for batch in batches:
+            take(batch)
+        yield from results()
+
+    return run
+
+
+def _meetings(filters, k):
+    """Batch function for rows sorted by (block, deal), the requests of each before its candidates."""
+    start = _nearest(filters, k)
+    wanted = ["query_id", "qvec", *filters]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, take, results = None, [], None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "deal", "candidate")])
+            cuts = [0, *(np.flatnonzero((kinds[1:] != kinds[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for first, last in zip(cuts, cuts[1:]):
+                part, here = batch.slice(first, last - first), tuple(kinds[first, :2])
+                if here != key:
+                    if results:
+                        yield from results()
+                    key, rows, take, results = here, [], None, None
+                if not kinds[first, 2]:
+                    rows += part.select(wanted).to_pylist()
+                    continue
+                if rows:
+                    take, results = start(rows)
+                    rows = []
+                if take:
+                    take(part)
+        if results:
+            yield from results()
 
     return run
 

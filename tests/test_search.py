@@ -153,6 +153,34 @@ def test_knn_applies_filters_first(spark, corpus, docs):
     assert found.filter(F.col("query_id") == 3).isEmpty()
 
 
+def test_knn_keeps_many_requests_off_the_driver(spark, corpus, docs, monkeypatch):
+    """Blocks of requests meet the candidates in one scan, and nothing is collected while the plan is built."""
+    ids = range(1, 41)
+    vectors = {i: [float((i * j) % 7 - 3) or 0.5 for j in range(1, DIMS + 1)] for i in ids}
+    categories = {i: "science" for i in ids if i % 3 == 0}
+    rows = [(i, vectors[i], categories.get(i), "2024-01-02" if i % 4 == 0 else None) for i in ids]
+    requests = spark.createDataFrame(rows, "query_id long, qvec array<double>, category string, date_from string")
+    requests = requests.withColumn("date_from", F.to_date("date_from"))
+    candidates = search._doc_attributes(docs, "content_vector")
+
+    def refuse(*_):
+        raise AssertionError("collected")
+
+    with monkeypatch.context() as held:
+        held.setattr(type(requests), "collect", refuse)
+        found = search.knn(requests, candidates, 6, queries_per_pass=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    got = {i: [] for i in ids}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got[r["query_id"]].append(r["id"])
+
+    def keep(i):
+        return lambda d: (i not in categories or d["category"] == "science") and (i % 4 or d["published_at"] >= datetime(2024, 1, 2))
+
+    assert got == {i: brute_knn(corpus, vectors[i], 6, keep(i)) for i in ids}
+
+
 def test_knn_without_any_vector(spark, docs):
     assert search.knn(asked(spark), docs.select("id", "content_vector"), 5).isEmpty()
 
