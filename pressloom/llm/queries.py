@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import ann, langid, licenses, linededup, mixing, neardup, packing, phrases, private, scoring
+from pressloom.llm import ann, audit, codes, langid, licenses, linededup, mixing, neardup, packing, phrases, pieces, private, scoring
 from pressloom.llm.common import table
 from pressloom.session import tune
 
@@ -89,6 +89,28 @@ def op10_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4).drop("tie")
 
 
+@query
+def op11_filter_audit(spark, sf_dir):
+    """What five filters remove of each source in each of their 120 orders."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_sentence_pieces(spark, sf_dir):
+    """Digests of each document's piece ids and of the text they decode to."""
+    coded = pieces.encode(table(spark, sf_dir, "documents"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    """Code of each vector's four parts and how far it is from what the code stands for."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 ORACLE_SQL = {
     "op1_mix_sources": r"""
 WITH sized AS (
@@ -122,6 +144,8 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted
 """,
     "op5_scan_licenses": licenses.oracle(),
+    "op11_filter_audit": audit.ORACLE,
+    "op13_vector_codes": codes.oracle(),
     "op10_near_duplicates": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
