@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks whose ids are kept; when there are more, the less used half goes.
-KEPT = 1 << 17
+KEPT = 1 << 18
 #: Longer chunks are not kept.
 LONGEST = 64
 

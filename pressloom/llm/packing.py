@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import itertools
 import sys
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import maybe_broadcast, returning_memory, stage
+from pressloom.llm.lookup import ChunkIds
+from pressloom.llm.words import chunks, text_bytes
 
 LENGTH = 2048
 END_ID = 1
-#: Words whose ids a worker remembers, twice over.
-CACHED_WORDS = 100_000
+#: Bytes of text handled at a time.
+BLOCK = 1 << 20
+#: New words given to the tokenizer in one text.
+TOGETHER = 64
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -27,23 +31,29 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordIds:
-    """Token ids of texts by way of their blank-separated chunks.
+    """Token ids of texts by way of their words: what a blank or line end precedes, up to the next word.
 
-    The tokenizer never joins characters across white space, so the ids of a text are those of its
-    chunks in a row. Chunks are remembered in two generations; the older one goes when the younger is full.
+    This needs a tokenizer that drops white space, joins nothing across it, lower-cases by itself and parts
+    a final stop or comma from letters. Some texts are tried on load; another tokenizer is refused.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    _TRIED = "Ab, cd. \n\n EF  g,h. a.b ,c, d..e ÄB. ß, X9. don't, I'LL. <|x|> \U0001f600. \u01c5. z"
+
+    def __init__(self, path: str, kept: int | None = None):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cached = cached
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks = {mark: np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, "<u4").tobytes() for mark in ("", ".", ",")}
+        self.marks = {mark: self.tokenizer.encode(mark, add_special_tokens=False).ids if mark else [] for mark in ("", ".", ",")}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.table = ChunkIds(self._ids, *([kept] if kept else []))
+        ids, _ = self.encode(*text_bytes(pa.array([self._TRIED])))
+        if ids.tolist() != self.tokenizer.encode(self._TRIED, add_special_tokens=False).ids:
+            raise ValueError(f"{path}: this tokenizer's ids of a text are not those of its words in a row")
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -53,40 +63,40 @@ class WordIds:
             kept[path] = cls(path)
         return kept[path]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the n + 1 places where the texts begin."""
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        words = lists.flatten().dictionary_encode()
-        number = words.indices.to_numpy()
-        found = self._ids(words.dictionary.to_pylist())
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[number]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        flat = ids[np.repeat(starts[number] - ends[:-1], each) + np.arange(ends[-1])]
-        return flat, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        if len(self.young) > self.cached:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        missing = []
-        for chunk in chunks:
-            if chunk not in young:
-                ids = old.get(chunk)
-                if ids is None:
-                    missing.append(chunk)
-                else:
-                    young[chunk] = ids
-        plain = [_plain(chunk) for chunk in missing]
-        new = list({core for core, _ in plain} - young.keys())
-        if new:
-            for core, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                young[core] = np.array(found.ids, "<u4").tobytes()
-        for chunk, (core, mark) in zip(missing, plain):
-            young[chunk] = young[core] + self.marks[mark]
-        return [young[chunk] for chunk in chunks]
+        places = np.zeros(len(offsets), np.int64)
+        if not len(data):
+            return np.zeros(0, np.int32), places
+        blank = (data == 32) | (data == 10)
+        starts = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+        cut = np.zeros(len(data) + 1, bool)
+        cut[starts] = cut[offsets] = True
+        cuts = np.flatnonzero(cut)
+        ids, each = self.table.of(np.where(data == 10, np.uint8(32), data), cuts)
+        owner = np.searchsorted(offsets, cuts[:-1], side="right") - 1
+        np.cumsum(np.bincount(owner, weights=each, minlength=len(offsets) - 1).astype(np.int64), out=places[1:])
+        return ids, places
+
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        plain = [_plain(word.decode().strip(" ")) for word in words]
+        cores = list({core for core, _ in plain})
+        simple = [core for core in cores if core.isalpha() and max(core) < "\u0250"]
+        found = self._of_letters(simple)
+        rest = [core for core in cores if core not in found]
+        found |= zip(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        return [found[core] + self.marks[mark] for core, mark in plain]
+
+    def _of_letters(self, cores: list[str]) -> dict[str, list[int]]:
+        """Ids of words of letters, many in one text: each word ends with the only id of it that ends a word."""
+        texts = [" ".join(cores[i : i + TOGETHER]) for i in range(0, len(cores), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.array(list(itertools.chain.from_iterable(e.ids for e in found)), np.int64)
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(cores):
+            return {}
+        cuts, flat = [0, *ends.tolist()], flat.tolist()
+        return {core: flat[a:b] for core, a, b in zip(cores, cuts, cuts[1:])}
 
 
 def _plain(chunk: str) -> tuple[str, str]:
@@ -105,28 +115,23 @@ def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     ``doc_id``, ``part``, ``local`` (tokens before it in the partition), ``doc_tokens`` and ``ids``, packed
     as unsigned numbers of 16 bits where all ids fit, else of 32, told by ``wide``.
     """
-    end = np.array([end_id], "<u4")
-
     def encode(batches):
         part, local = TaskContext.get().partitionId(), 0
         words = WordIds.of_worker(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                some = batch.slice(first, 1000)
-                ids, places = words.encode(some.column("text").fill_null(""))
-                rows, lengths, wide = [], [], []
-                for a, b in zip(places[:-1], places[1:]):
-                    numbers = np.append(ids[a:b], end)
-                    lengths.append(len(numbers))
-                    wide.append(bool(numbers.max() >= 1 << 16))
-                    rows.append(numbers.tobytes() if wide[-1] else numbers.astype("<u2").tobytes())
-                lengths = np.array(lengths, np.int64)
-                starts = local + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                local += int(lengths.sum())
+            data, offsets = text_bytes(batch.column(1))
+            for a, b in chunks(offsets, BLOCK):
+                ids, places = words.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                ids, places = np.insert(ids, places[1:], end_id), places + np.arange(b - a + 1)
+                wide = np.maximum.reduceat(ids, places[:-1]) >= 1 << 16
+                short, long = ids.astype("<u2").tobytes(), ids.astype("<u4").tobytes() if wide.any() else b""
+                cuts = zip(wide.tolist(), places[:-1].tolist(), places[1:].tolist())
+                rows = [long[4 * x : 4 * y] if w else short[2 * x : 2 * y] for w, x, y in cuts]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), pa.array([part] * len(rows), pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(wide), pa.array(rows, pa.binary())],
+                    [batch.column(0).slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(local + places[:-1]), pa.array(np.diff(places)), pa.array(wide), pa.array(rows, pa.binary())],
                     names=["doc_id", "part", "local", "doc_tokens", "wide", "ids"],
                 )
+                local += int(places[-1])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(returning_memory(encode), "doc_id long, part int, local long, doc_tokens long, wide boolean, ids binary")
 

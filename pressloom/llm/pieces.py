@@ -223,7 +223,9 @@ class Pieces:
         signs = _signs(text)
         # A chunk begins at a sign with something else before it, and at each text.
         signs = signs[np.append(True, np.diff(signs) != len(SPACE_SIGN))[: len(signs)]]
-        cuts = np.unique(np.concatenate([signs, at]))
+        cut = np.zeros(len(text) + 1, bool)
+        cut[signs] = cut[at] = True
+        cuts = np.flatnonzero(cut)
         ids, each = self.table.of(text, cuts)
         owner = np.searchsorted(at, cuts[:-1], side="right") - 1
         places = np.zeros(len(at), np.int64)

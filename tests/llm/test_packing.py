@@ -1,10 +1,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from pressloom.llm import packing
 from pressloom.llm.queries import registry
+from pressloom.llm.words import text_bytes
 
 
 def expected_ids(texts):
@@ -54,8 +57,21 @@ def test_awkward_rows(awkward, awkward_rows, empty):
 
 
 def test_ids_by_word_equal_ids_of_the_text():
-    import pyarrow as pa
-
     texts = ["", " ", "It's. foo.'s ...,,a.b, <|endoftext|>. <|ENDOFTEXT|> Straße, ΣΑΣ. İstanbul 5.3, x..", "ǅ. é, É. don't, I'LL. a\tb\x1cc d", "A.B,C. ,. d,e"]
-    ids, places = packing.WordIds(packing.tokenizer_path(), cached=3).encode(pa.array(texts * 3))
+    ids, places = packing.WordIds(packing.tokenizer_path(), kept=3).encode(*text_bytes(pa.array(texts * 3)))
     assert [[*ids[a:b].tolist(), 1] for a, b in zip(places[:-1], places[1:])] == expected_ids(texts * 3)
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        packing.WordIds(packing.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_a_table_that_forgets(documents):
+    """Ids stay the same while words come, go and come again."""
+    texts = [r["text"] or "" for r in documents.limit(60).collect()]
+    words = packing.WordIds(packing.tokenizer_path(), kept=100)
+    for some in (texts[:20], texts[20:], texts):
+        ids, places = words.encode(*text_bytes(pa.array(some)))
+        assert [[*ids[a:b].tolist(), 1] for a, b in zip(places[:-1], places[1:])] == expected_ids(some)
+        assert len(words.table.words) <= 100
