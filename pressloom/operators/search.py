@@ -385,13 +385,12 @@ def total_counts(counts: DataFrame) -> DataFrame:
 WARNING = "Vector embedding failed - falling back to keyword search"
 
 
-def exact_ranks(requests: DataFrame, matches: DataFrame, listed: DataFrame) -> DataFrame:
-    """``query_id, id, rank, score`` of the listed (query_id, id) among all matches of their request.
+def count_ranks(requests: DataFrame, matches: DataFrame, own: DataFrame) -> DataFrame:
+    """``query_id, id, rank, score`` of some scored matches (``own``) among all matches of their request.
 
-    Only counts leave the tasks: each match is placed between the listed ones of its request (100 at most),
+    Only counts leave the tasks: each match is placed between the ``own`` ones of its request (100 at most),
     and the rank of one is the number of matches placed no later.
     """
-    own = listed.select("query_id", "id").join(matches.select("query_id", "id", "score"), ["query_id", "id"])
     marks = own.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("low"), "id"))).alias("marks"))
     placed = matches.select("query_id", F.struct((-F.col("score")).alias("low"), "id").alias("here")).join(request_side(requests, marks), "query_id")
     counts = placed.select("query_id", F.size(F.filter("marks", lambda mark: mark < F.col("here"))).alias("place"))
@@ -402,21 +401,43 @@ def exact_ranks(requests: DataFrame, matches: DataFrame, listed: DataFrame) -> D
     return ranked.select("query_id", F.col("mark.id").alias("id"), F.col("rank").cast("int").alias("rank"), (-F.col("mark.low")).alias("score"))
 
 
+def exact_ranks(requests: DataFrame, matches: DataFrame, listed: DataFrame) -> DataFrame:
+    """``query_id, id, rank, score`` of the listed (query_id, id) among all matches of their request."""
+    own = listed.select("query_id", "id").join(matches.select("query_id", "id", "score"), ["query_id", "id"])
+    return count_ranks(requests, matches, own)
+
+
+class StoredMatches:
+    """All keyword matches of a batch of requests, scored once and stored: for small batches, and what other ways are tested against."""
+
+    def __init__(self, requests: DataFrame, matches: DataFrame):
+        self.requests, self.matches = requests, matches
+
+    def best(self) -> DataFrame:
+        return top_k(self.matches, MAX_CANDIDATES).filter(F.col("rank") <= candidate_depth(F.col("top"))).select("query_id", "id", "score", "rank")
+
+    def ranks(self, listed: DataFrame) -> DataFrame:
+        return exact_ranks(self.requests, self.matches, listed)
+
+    def counts(self) -> DataFrame:
+        return facet_counts(self.matches)
+
+
 def search(
     requests: DataFrame,
     docs: DataFrame,
     as_of: Column,
     index: TextIndex | None = None,
     scorer: Column | None = None,
-    matches: DataFrame | None = None,
+    matches=None,
 ) -> DataFrame:
     """Result pages of valid requests: ``query_id, rank, score``, document fields and ``warning``.
 
     One plan covers the mode matrix. A request that wants vectors and has one is hybrid, otherwise it
     is answered by keywords alone, with a warning if it wanted vectors. Semantic requests are
     reranked over their best 50, which is also the longest page: asking for more is an error. A document
-    of the vector list keeps its keyword share however deep its keyword rank. ``matches`` are the stored
-    keyword matches, if something else needs them as well; without, they are stored here.
+    of the vector list keeps its keyword share however deep its keyword rank. ``matches`` answers for the
+    keywords (``pages.BlockMatches``, or a table of all matches); without, all matches are stored here.
     """
     page_rows = F.when(F.col("top") > RERANK_CANDIDATES, F.raise_error(F.lit(f"a page has at most {RERANK_CANDIDATES} rows")))
     requests = requests.withColumn("top", page_rows.otherwise(F.col("top")))
@@ -427,13 +448,15 @@ def search(
     )
     if matches is None:
         matches = stored_matches(requests, docs, as_of, index)
-    by_words = top_k(matches, MAX_CANDIDATES).filter(F.col("rank") <= candidate_depth(F.col("top")))
+    if isinstance(matches, DataFrame):
+        matches = StoredMatches(requests, matches)
+    by_words = matches.best()
     vectors = _doc_attributes(docs, "content_vector")
     depth = requests.select("query_id", candidate_depth(F.col("top")).alias("depth"))
     by_vector = (
         knn(requests.filter(hybrid), vectors, MAX_CANDIDATES).join(depth, "query_id").filter(F.col("rank") <= F.col("depth"))
     )
-    deeper = exact_ranks(requests, matches, by_vector.join(by_words, ["query_id", "id"], "left_anti"))
+    deeper = matches.ranks(by_vector.join(by_words, ["query_id", "id"], "left_anti"))
     both = by_words.select("query_id", "id", "rank", "score").unionAll(deeper).unionAll(
         by_vector.select("query_id", "id", "rank", F.lit(None).cast("double").alias("score"))
     )

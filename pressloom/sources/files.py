@@ -51,6 +51,9 @@ class Folder:
             else:
                 self._move(self.previous, self.path)
 
+    def remove(self) -> None:
+        self._remove(self.path)
+
     def discard_staging(self) -> None:
         self._remove(self.staging)
 

@@ -376,9 +376,13 @@ FROM silver WHERE article_date = DATE '2024-01-30'"""
 
 SQL["index_stats"] = "SELECT count(*) AS document_count, true AS has_bytes FROM documents"
 
-FIELD_TOKENS = f"""
+def _field_tokens(docs: str = "articles") -> str:
+    """Terms of all searchable fields of a table, and their statistics."""
+    return f"""
 field_texts AS (
-  SELECT id, 'title' AS field, title AS t FROM articles UNION ALL SELECT id, 'body_snippet', text FROM articles),
+  SELECT id, 'title' AS field, title AS t FROM {docs} UNION ALL SELECT id, 'body_snippet', text FROM {docs}
+  UNION ALL SELECT id, 'key_phrases', array_to_string(regexp_split_to_array(text, '[ \\t\\n\\r]+'), ' ') FROM {docs}
+  UNION ALL SELECT id, 'entities', array_to_string(regexp_extract_all(text, '\\p{{Lu}}\\p{{L}}+'), ' ') FROM {docs}),
 raw_tokens AS (SELECT id, field, unnest({TOKENS.format('t')}) AS term FROM field_texts),
 field_terms AS (SELECT * FROM raw_tokens WHERE term NOT IN {STOPS}),
 lens AS (SELECT id, field, count(*) AS len FROM field_terms GROUP BY id, field),
@@ -388,6 +392,10 @@ stats AS (
 postings AS (SELECT id, field, term, count(*) AS tf FROM field_terms GROUP BY id, field, term),
 dfs AS (SELECT field, term, count(*) AS df FROM postings GROUP BY field, term)"""
 
+
+FIELD_TOKENS = _field_tokens()
+WEIGHT = "CASE field " + " ".join(f"WHEN '{name}' THEN {weight}::DOUBLE" for name, weight in FIELD_WEIGHTS.items()) + " END"
+
 SQL["corpus_stats"] = f"WITH {ARTICLES}, {FIELD_TOKENS} SELECT field, n_docs, round(avg_len, 6) AS avg_len FROM stats"
 
 SQL["postings"] = f"""
@@ -399,23 +407,35 @@ WITH {ARTICLES}, {FIELD_TOKENS}
 SELECT field, count(*) AS postings, CAST(sum(tf) AS BIGINT) AS tokens, any_value(n_docs) AS n_docs,
        round(any_value(avg_len), 6) AS avg_len FROM postings JOIN stats USING (field) GROUP BY field"""
 
-BM25 = f"""{FIELD_TOKENS},
+_SCORES = f"""
 query_terms AS (
   SELECT DISTINCT item_id AS query_id, term FROM (SELECT item_id, unnest({TOKENS.format('text')}) AS term FROM benchmark)
   WHERE term NOT IN {STOPS}),
 bm25 AS (
-  SELECT query_id, p.id, sum(CASE p.field WHEN 'title' THEN {FIELD_WEIGHTS['title']}::DOUBLE ELSE {FIELD_WEIGHTS['body_snippet']}::DOUBLE END
+  SELECT query_id, p.id, sum({WEIGHT.replace('field', 'p.field')}
            * ln(1 + (n_docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
            / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / avg_len))) AS score
   FROM postings p JOIN query_terms USING (term) JOIN dfs USING (field, term) JOIN stats USING (field)
        JOIN lens ON lens.id = p.id AND lens.field = p.field
   GROUP BY query_id, p.id)"""
+BM25 = f"{FIELD_TOKENS},{_SCORES}"
 
 SQL["bm25_top"] = f"""
 WITH {ARTICLES}, {BM25}, rounded AS (SELECT query_id, id, round(score, 6) AS score FROM bm25)
 SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM rounded
 QUALIFY rank <= 10"""
 
+SQL["segment_refresh"] = f"""
+WITH {ARTICLES}, marked AS (
+  SELECT *, CASE WHEN day(article_date) <= 27 AND doc_id % 20 < 3 THEN doc_id % 20 END AS updated,
+         CASE WHEN day(article_date) <= 27 AND doc_id % 23 < 3 THEN doc_id % 23 END AS deleted FROM articles),
+current_docs AS (
+  SELECT id, CASE WHEN updated IS NULL THEN title ELSE 'Update: ' || title END AS title, text FROM marked
+  WHERE deleted IS NULL OR coalesce(updated > deleted, false)),
+{_field_tokens('current_docs')},{_SCORES}, rounded AS (SELECT query_id, id, round(score, 6) AS score FROM bm25)
+SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM rounded
+QUALIFY rank <= 10"""
+
 SQL["knn_top"] = """
 WITH spread AS (
   SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings),
@@ -430,14 +450,15 @@ SELECT query_id, id, round(s, 6) AS score, rank FROM ranked WHERE rank <= 20"""
 
 MATCHES = f"""
 requests AS (
-  SELECT item_id AS query_id, item_id % 2 = 1 AS odd, CAST(embedding AS DOUBLE[]) AS qvec
+  SELECT item_id AS query_id, item_id % 2 = 1 AS odd, item_id % 4 >= 2 AS semantic, item_id % 3 <> 0 AS vector,
+         CASE WHEN item_id % 3 <> 0 THEN CAST(embedding AS DOUBLE[]) END AS qvec
   FROM benchmark LEFT JOIN embeddings ON vec_id = item_id),
 ages AS (
   SELECT *, (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(published_at)) / (86400.0::DOUBLE * 1000000 * 7) AS age FROM silver),
 fresh AS (
   SELECT *, 1 + CASE WHEN age >= 1 THEN 0 WHEN age <= 0 THEN 1 ELSE 1 - ln(1 + age * (exp(1) - 1)) END AS boost FROM ages),
 matches AS (
-  SELECT b.query_id, b.id, round(score * boost, 6) AS score, category, label
+  SELECT b.query_id, b.id, round(score * CASE WHEN semantic THEN 1 ELSE boost END, 6) AS score, category, label
   FROM bm25 b JOIN requests r USING (query_id) JOIN fresh d ON d.id = b.id
   WHERE NOT odd OR (category = 'en' AND published_at >= TIMESTAMP '2024-01-05'))"""
 
@@ -455,12 +476,19 @@ fused AS (
     SELECT query_id, id, rank, score FROM by_words UNION ALL SELECT query_id, id, rank, NULL FROM by_vector)
   GROUP BY query_id, id),
 scored AS (
-  SELECT query_id, id, round(CASE WHEN qvec IS NULL THEN words ELSE fused END, 6) AS score, qvec IS NULL AS no_vector
+  SELECT query_id, id, round(CASE WHEN qvec IS NULL THEN words ELSE fused END, 6) AS score, semantic,
+         CASE WHEN vector AND qvec IS NULL THEN 'Vector embedding failed - falling back to keyword search' END AS warning
   FROM fused JOIN requests USING (query_id)),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 50),
+shared AS (
+  SELECT query_id, id, sum({WEIGHT}) AS h FROM best JOIN query_terms USING (query_id) JOIN postings USING (id, term) GROUP BY query_id, id),
+wanted AS (SELECT query_id, count(*) AS n FROM query_terms GROUP BY query_id),
+reordered AS (
+  SELECT query_id, id, CASE WHEN semantic THEN coalesce(round(h / (n * {sum(FIELD_WEIGHTS.values())}::DOUBLE), 6), 0) ELSE score END AS score, warning
+  FROM best LEFT JOIN shared USING (query_id, id) LEFT JOIN wanted USING (query_id)),
 page AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score,
-       CASE WHEN no_vector THEN 'Vector embedding failed - falling back to keyword search' END AS warning
-FROM scored QUALIFY rank <= 10)"""
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score, warning
+  FROM reordered QUALIFY rank <= 10)"""
 
 SQL["rrf_hybrid"] = f"WITH {SILVER}, {BM25}, {MATCHES}, {HYBRID} SELECT * FROM page"
 
@@ -471,9 +499,9 @@ candidates AS (
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 50),
 wanted AS (SELECT query_id, count(*) AS n FROM query_terms GROUP BY query_id),
 hits AS (
-  SELECT query_id, id, sum(CASE field WHEN 'title' THEN 3.0::DOUBLE ELSE 1.0::DOUBLE END) AS h
+  SELECT query_id, id, sum({WEIGHT}) AS h
   FROM candidates JOIN query_terms USING (query_id) JOIN postings USING (id, term) GROUP BY query_id, id),
-scored AS (SELECT query_id, id, round(h / (n * 4.0::DOUBLE), 6) AS score FROM hits JOIN wanted USING (query_id))
+scored AS (SELECT query_id, id, round(h / (n * {sum(FIELD_WEIGHTS.values())}::DOUBLE), 6) AS score FROM hits JOIN wanted USING (query_id))
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score FROM scored"""
 
 FACETS = f"""
@@ -495,8 +523,8 @@ faceted AS (
   SELECT query_id, string_agg(concat_ws(':', facet, value, n), '|' ORDER BY facet, rank) AS facets FROM ranked
   WHERE rank <= keep GROUP BY query_id),
 totals AS (SELECT query_id, count(*) AS count FROM matches GROUP BY query_id)
-SELECT query_id, qvec IS NOT NULL AS vector, coalesce(count, 0) AS count, ids, facets,
-       CASE WHEN qvec IS NULL THEN 'Vector embedding failed - falling back to keyword search' END AS warning
+SELECT query_id, vector AND qvec IS NOT NULL AS vector, coalesce(count, 0) AS count, ids, facets,
+       CASE WHEN vector AND qvec IS NULL THEN 'Vector embedding failed - falling back to keyword search' END AS warning
 FROM requests LEFT JOIN totals USING (query_id) LEFT JOIN pages USING (query_id) LEFT JOIN faceted USING (query_id)"""
 
 SQL["filter_docs"] = f"""

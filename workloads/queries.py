@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressloom.functions import paths, pii, text
-from pressloom.operators import enrich, gold, governance, index, matching, monitor, requests, search, select
+from pressloom.operators import enrich, gold, governance, index, matching, monitor, pages, requests, search, segments, select
 from pressloom.plans.enrich_job import run_enrich
 from pressloom.plans.gold_job import gold_tables, run_gold
 from pressloom.plans.refresh_job import refresh_index
@@ -529,15 +529,15 @@ def index_stats(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    """Title and whole body of the articles: what plain keyword scoring needs."""
-    return t.articles(spark, sf_dir).select("id", "title", F.col("text").alias("body_snippet"))
+    """The searchable fields of all articles."""
+    return index.to_search_doc(_silver_with_vectors(spark, sf_dir))
 
 
 _built: dict[tuple[str, str], str] = {}
 
 
 def _index_path(spark, sf_dir):
-    """Build the search index, documents and terms, once per session and folder of tables.
+    """Build the search index, documents and segments, once per session and folder of tables.
 
     The index is a stored table that many searches share; ``index_build`` is the query that times it.
     """
@@ -550,56 +550,75 @@ def _index_path(spark, sf_dir):
 def _build_index(spark, sf_dir):
     path = scratch_path(spark, "corpus")
     t.search_corpus(spark, sf_dir).write.parquet(f"{path}/docs")
-    index.write_text_index(spark.read.parquet(f"{path}/docs"), f"{path}/terms", _fields(), BUCKETS)
+    segments.refresh(spark.read.parquet(f"{path}/docs"), f"{path}/terms", buckets=BUCKETS)
     return path
 
 
 def _stored_index(spark, sf_dir):
     path = _index_path(spark, sf_dir)
-    return spark.read.parquet(f"{path}/docs"), index.read_text_index(spark, f"{path}/terms")
+    return spark.read.parquet(f"{path}/docs"), segments.open_index(spark, f"{path}/terms")
 
 
 @query
 def index_build(spark, sf_dir):
     """The whole index build: documents stored, texts analysed, postings and statistics stored."""
     path = _built[(spark.sparkContext.applicationId, sf_dir)] = _build_index(spark, sf_dir)
-    found = index.read_text_index(spark, f"{path}/terms")
-    per_field = found.postings.groupBy("field").agg(F.count(F.lit(1)).alias("postings"), F.sum("tf").alias("tokens"))
-    return per_field.join(found.stats, "field").select(
+    found = segments.open_index(spark, f"{path}/terms")
+    per_field = found.frequencies().groupBy("field").agg(F.sum("df").alias("postings"), F.sum("occurrences").alias("tokens"))
+    return per_field.join(found.stats(), "field").select(
         "field", "postings", "tokens", "n_docs", F.round("avg_len", 6).alias("avg_len")
     )
 
 
-def _fields():
-    return {"title": F.col("title"), "body_snippet": F.col("body_snippet")}
-
-
 @query
 def corpus_stats(spark, sf_dir):
-    stats = index.text_index(_texts(spark, sf_dir), _fields()).stats
+    stats = index.text_index(_texts(spark, sf_dir)).stats
     return stats.select("field", "n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
 @query
 def postings(spark, sf_dir):
     """Term statistics of the index: per field and term, documents and occurrences."""
-    return index.text_index(_texts(spark, sf_dir), _fields()).frequencies
+    return index.text_index(_texts(spark, sf_dir)).frequencies
+
+
+def _plain_requests(spark, sf_dir):
+    """Benchmark texts as requests without filters and freshness: plain relevance."""
+    none = F.lit(None).cast("string")
+    return t.requests(spark, sf_dir).select(
+        "query_id", "q", F.lit(10).alias("top"), none.alias("category"), none.alias("source"), none.alias("sentiment"),
+        F.lit(True).alias("semantic"), F.lit(False).alias("vector"), none.alias("date_from"), none.alias("date_to"), "qvec",
+    )
 
 
 @query
 def bm25_top(spark, sf_dir):
     _, stored = _stored_index(spark, sf_dir)
-    scored = search.bm25(t.requests(spark, sf_dir), stored)
-    return _dates_as_text(search.top_k(scored.withColumn("score", F.round("score", 6)), 10))
+    return _dates_as_text(pages.BlockMatches(_plain_requests(spark, sf_dir), stored, _as_of()).best(F.lit(10)))
+
+
+@query
+def segment_refresh(spark, sf_dir):
+    """Three daily refreshes of a stored index, each with new articles, updates and deletes, and what is then found."""
+    path = scratch_path(spark, "segments")
+    docs = _texts(spark, sf_dir)
+    number, day = F.col("id").cast("bigint"), F.dayofmonth("published_at")
+    segments.refresh(docs.where(day <= 27), path, buckets=BUCKETS)
+    for nth in range(3):
+        updated = docs.where((day <= 27) & (number % 20 == nth)).withColumn("title", F.concat(F.lit("Update: "), "title"))
+        deleted = docs.where((day <= 27) & (number % 23 == nth)).select("id")
+        segments.refresh(docs.where(day == 28 + nth).unionByName(updated), path, deleted, buckets=BUCKETS)
+    found = pages.BlockMatches(_plain_requests(spark, sf_dir), segments.open_index(spark, path), _as_of())
+    return _dates_as_text(found.best(F.lit(10)))
 
 
 def _open_requests(spark, sf_dir):
-    """Benchmark texts as valid requests; odd ones filter by category and dates."""
+    """Benchmark texts as valid requests in all four modes; odd ones filter by category and dates."""
     odd = F.pmod("query_id", F.lit(2)) == 1
     none = F.lit(None).cast("string")
     return t.requests(spark, sf_dir).select(
         "query_id", "q", F.lit(10).alias("top"), F.when(odd, F.lit("en")).alias("category"), none.alias("source"),
-        none.alias("sentiment"), F.lit(False).alias("semantic"), F.lit(True).alias("vector"),
+        none.alias("sentiment"), (F.pmod("query_id", F.lit(4)) >= 2).alias("semantic"), (F.pmod("query_id", F.lit(3)) != 0).alias("vector"),
         F.when(odd, F.lit("2024-01-05")).alias("date_from"), none.alias("date_to"), "qvec",
     )
 
@@ -620,32 +639,38 @@ def knn_top(spark, sf_dir):
     return _dates_as_text(ranked.withColumn("score", F.round("score", 6)))
 
 
+def _matches(spark, sf_dir):
+    """Requests, documents and the requests' keyword matches by blocks of the stored index."""
+    asked = _open_requests(spark, sf_dir)
+    docs, stored = _stored_index(spark, sf_dir)
+    return asked, docs, pages.BlockMatches(asked, stored, _as_of())
+
+
 @query
 def rrf_hybrid(spark, sf_dir):
-    """Hybrid search: boosted BM25 and vectors, fused; requests without a vector fall back to keywords."""
-    docs, stored = _stored_index(spark, sf_dir)
-    results = search.search(_open_requests(spark, sf_dir), docs, _as_of(), stored)
+    """Pages in all modes: boosted BM25 or BM25 and vectors, fused; semantic requests reranked over all fields."""
+    asked, docs, matches = _matches(spark, sf_dir)
+    results = search.search(asked, docs, _as_of(), matches=matches)
     return _dates_as_text(results.select("query_id", "rank", "id", "score", "warning"))
 
 
 @query
 def rerank(spark, sf_dir):
-    """The best 50 by BM25, reordered by weighted term overlap."""
-    asked = t.requests(spark, sf_dir)
+    """The best 50 by BM25, reordered by weighted term overlap over all fields."""
+    asked = _plain_requests(spark, sf_dir)
     docs, stored = _stored_index(spark, sf_dir)
-    scored = search.bm25(asked, stored).withColumn("score", F.round("score", 6))
-    candidates = search.top_k(scored, search.RERANK_CANDIDATES).join(asked.select("query_id", "q"), "query_id")
-    found = docs.select("id", "title", "body_snippet").join(search.request_side(asked, candidates), "id")
-    reordered = search.rerank(found, search.token_overlap(F.col("q"), _fields()))
+    best = pages.BlockMatches(asked, stored, _as_of()).best(F.lit(search.RERANK_CANDIDATES))
+    candidates = best.join(asked.select("query_id", "q"), "query_id")
+    found = docs.drop("content_vector").join(search.request_side(asked, candidates), "id")
+    reordered = search.rerank(found, search.token_overlap(F.col("q"), index.field_texts(docs)))
     return _dates_as_text(reordered.select("query_id", "rank", "id", "score"))
 
 
 @query
 def facets(spark, sf_dir):
     """Facets and totals of every request over its whole filtered match set."""
-    docs, stored = _stored_index(spark, sf_dir)
-    matches = search.keyword_matches(_open_requests(spark, sf_dir), docs, _as_of(), stored)
-    counts = search.facet_counts(matches)
+    _, _, matches = _matches(spark, sf_dir)
+    counts = matches.counts()
     total = search.total_counts(counts).select(
         "query_id", F.lit("total").alias("facet"), F.lit("").alias("value"), F.col("count").alias("n"), F.lit(1).alias("rank")
     )
@@ -654,12 +679,9 @@ def facets(spark, sf_dir):
 
 @query
 def search_report(spark, sf_dir):
-    asked = _open_requests(spark, sf_dir)
-    docs, stored = _stored_index(spark, sf_dir)
-    matches = search.stored_matches(asked, docs, _as_of(), stored)
-    results = search.search(asked, docs, _as_of(), stored, matches=matches)
-    counts = search.facet_counts(matches)
-    report = search.search_report(asked, results, counts)
+    asked, docs, matches = _matches(spark, sf_dir)
+    results = search.search(asked, docs, _as_of(), matches=matches)
+    report = search.search_report(asked, results, matches.counts())
     ids = F.array_join(F.transform("results", lambda r: r.id), "|")
     facet = F.array_join(F.transform("facets", lambda f: F.concat_ws(":", f.facet, f.value, f.n.cast("string"))), "|")
     return report.select("query_id", F.col("query.vector").alias("vector"), "count", ids.alias("ids"), facet.alias("facets"), "warning")
