@@ -22,6 +22,7 @@ from pressloom.operators.search import (
     BM25_B,
     BM25_K1,
     BROADCAST_TERMS,
+    FILTERS,
     MAX_CANDIDATES,
     SCORE_DIGITS,
     candidate_depth,
@@ -34,7 +35,6 @@ from pressloom.operators.segments import SegmentIndex, bit, bits_where
 from pressloom.operators.select import top_n
 from pressloom.session import scratch_path, small
 
-_FILTERS = ("category", "source", "sentiment", "date_from", "date_to")
 #: What rounding can add to a score; bounds are raised by it.
 _SLACK = 10.0**-SCORE_DIGITS
 
@@ -121,7 +121,7 @@ class BlockMatches:
             F.bit_or("bits").alias("bits"), F.sum("bound").alias("bound")
         )
         known = self.index.blocks().select("segment", "block", "dead", "groups", "sources", "dates", "newest")
-        asked = request_side(self.requests, self.requests.select("query_id", "semantic", *_FILTERS))
+        asked = request_side(self.requests, self.requests.select("query_id", "semantic", *FILTERS))
         joined = met.join(known, ["segment", "block"]).join(asked, "query_id")
         left = F.col("bits").bitwiseAND(F.bitwise_not("dead")).bitwiseAND(filter_bits())
         boost = F.when(F.col("semantic"), F.lit(1.0)).otherwise(freshness(F.col("newest"), self.as_of))

