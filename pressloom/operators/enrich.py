@@ -135,31 +135,59 @@ def _as_entity(category: str) -> Callable[[Column], Column]:
 BROADCAST_NAMES = 1_000_000
 
 
+#: Bits that tell whether a name of some length may begin with a word.
+OPENING_BITS = 1 << 16
+
+
+def _openings(names: DataFrame) -> dict[int, list[int]]:
+    """For each length of a name in words, the bits of the words such names begin with; of bounded size per length."""
+    words = F.split("name", " ")
+    place = F.pmod(F.xxhash64(F.get(words, F.lit(0))), F.lit(OPENING_BITS))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")))
+    found: dict[int, list[int]] = {}
+    for row in names.groupBy(F.size(words).alias("n"), F.floor(place / 64).alias("at")).agg(bits.alias("bits")).toLocalIterator():
+        found.setdefault(row["n"], [0] * (OPENING_BITS // 64))[row["at"]] = row["bits"]
+    return found
+
+
+def _opens(bits: list[int]) -> Callable[[Column], Column]:
+    known = F.array(*map(F.lit, bits))
+
+    def opens(start):
+        place = F.pmod(F.xxhash64(F.get("words", start - 1)), F.lit(OPENING_BITS))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+        return F.get(known, F.floor(place / 64).cast("int")).bitwiseAND(one) != 0
+
+    return opens
+
+
+def candidate_runs(df: DataFrame, names: DataFrame, max_words: int | None = None) -> DataFrame:
+    """``id, position, name``: the word runs of each text that can be a name, by length and first word.
+
+    A run of n words is made only where a word stands that some name of n words begins with, so a long name costs
+    nothing in texts without its first word. The bits can let a run too many through, never one too few.
+    """
+    words = df.select("id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
+    runs = [F.array().cast("array<struct<position:int,name:string>>")]
+    for n, bits in sorted(_openings(names).items()):
+        if max_words is not None and n > max_words:
+            continue
+        places = F.when(F.size("words") >= n, F.sequence(F.lit(1), F.size("words") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        runs.append(F.transform(F.filter(places, _opens(bits)), _word_run(n)))
+    return words.select("id", F.explode(F.concat(*runs)).alias("g")).select("id", "g.position", "g.name")
+
+
 def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, max_words: int | None = None) -> DataFrame:
     """Name mentions: id, position, text, category, subcategory.
 
-    Joins the word runs of each text with gazetteer names, as written; runs are as long as the longest
-    name unless ``max_words`` says less. Names are unique on their side, so the join adds no rows. A gazetteer of bounded size is broadcast; for
-    a larger one the runs are shuffled and adaptive execution splits the frequent words.
+    Joins the word runs of each text that may be a name (:func:`candidate_runs`) with gazetteer names, as written;
+    ``max_words`` leaves longer names out. Names are unique on their side, so the join adds no rows. A gazetteer of
+    bounded size is broadcast; for a larger one the runs are shuffled and adaptive execution splits the frequent words.
     """
     names = gazetteer.dropDuplicates(["name"]).select("name", "category", "subcategory")
+    grams = candidate_runs(df, names, max_words)
     if small(names, BROADCAST_NAMES):
         names = F.broadcast(names)
-    if max_words is None:
-        max_words = names.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 0
-    words = df.select("id", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
-    runs = [
-        F.transform(
-            F.when(F.size("words") >= n, F.sequence(F.lit(1), F.size("words") - (n - 1))).otherwise(
-                F.array().cast("array<int>")
-            ),
-            _word_run(n),
-        )
-        for n in range(1, max_words + 1)
-    ]
-    if not runs:
-        runs = [F.array().cast("array<struct<position:int,name:string>>")]
-    grams = words.select("id", F.explode(F.concat(*runs)).alias("g")).select("id", "g.position", "g.name")
     return grams.join(names, "name").select("id", "position", F.col("name").alias("text"), "category", "subcategory")
 
 

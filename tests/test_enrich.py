@@ -231,3 +231,15 @@ def test_ties_do_not_depend_on_input_order(spark):
         events = spark.createDataFrame(order, "url_hash string, ingested_at string, category string, path string").coalesce(1)
         winners |= {r["category"] for r in matching.drop_seen(events, stored).collect()}
     assert len(winners) == 1 and winners <= {"catA", "catB"}
+
+
+def test_a_long_name_costs_nothing_where_its_first_word_is_missing(spark):
+    long_name = " ".join(["Zebra", *[f"word{i}" for i in range(29)]])
+    gazetteer = spark.createDataFrame([(n, "Organization", None) for n in ("New York", "York", long_name)], "name string, category string, subcategory string")
+    text = "In New York the York mint met. " + "plain words " * 200
+    plain = enrich.candidate_runs(texts(spark, {"a": text}), gazetteer).collect()
+    assert {r["name"] for r in plain} >= {"New York", "York"} and len(plain) <= 8
+    found = enrich.gazetteer_mentions(texts(spark, {"a": text, "b": f"The {long_name} met", "c": long_name[:-1]}), gazetteer).collect()
+    assert sorted((r["id"], r["text"]) for r in found) == [("a", "New York"), ("a", "York"), ("a", "York"), ("b", long_name)]
+    short = enrich.gazetteer_mentions(texts(spark, {"b": f"The {long_name} met"}), gazetteer, max_words=5)
+    assert short.count() == 0

@@ -99,12 +99,12 @@ def test_a_refresh_writes_its_own_documents_only(spark, tmp_path):
 
 def test_tiers_merge_and_unused_segments_go(spark, tmp_path):
     path = str(tmp_path / "index")
-    for n in range(9):
-        segments.refresh(spark.createDataFrame(make_docs(4, n, first=2 * n), SCHEMA), path, fan=3)
+    for n in range(5):
+        segments.refresh(spark.createDataFrame(make_docs(4, n, first=2 * n), SCHEMA), path, fan=2)
     opened = segments.open_index(spark, path)
-    assert len(opened.segments) <= 3 and segments.document_count(opened) == 20
+    assert len(opened.segments) <= 2 and segments.document_count(opened) == 12
     current = {}
-    for n in range(9):
+    for n in range(5):
         current |= {d[0]: d for d in make_docs(4, n, first=2 * n)}
     fresh = index.text_index(spark.createDataFrame(list(current.values()), SCHEMA))
     key = lambda rows: sorted(tuple(r) for r in rows)

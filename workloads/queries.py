@@ -316,7 +316,7 @@ def merge_upsert(spark, sf_dir):
     source = t.table(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") * 30).alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
     )
-    tables.merge_buckets(target, path, ["key"])
+    tables.merge_buckets(target, path, ["key"], buckets=BUCKETS)
     for _ in range(2):
         tables.merge_buckets(source, path, ["key"], ["balance"])
     return tables.bucketed_table(spark, path)
