@@ -62,21 +62,27 @@ def _places(words: Column, joined: Column, phrase: str) -> Column:
     return F.when(F.contains(joined, F.lit(phrase)) & (last >= 0), here).otherwise(F.array().cast("array<int>"))
 
 
+#: Only these letters are lower-cased.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """Licenses named or quoted in each text.
 
     ``doc_id``, ``n_words``, ``n_base`` (places of the phrases), ``first_word`` and ``last_word`` of them,
     ``base_labels``, ``labels``, ``score``. All grams of three words of every text meet the template positions in
     a hash join, with the gram itself compared; hits vote for the diagonal (word minus template word);
-    diagonals at most three apart are one span, a few words lost or added; a span that covers 80 % of
-    its template's grams carries its label. ``score`` is 1 with a phrase, else the largest share covered.
+    diagonals at most three apart are one span, a few words lost or added. A span is verified by the template
+    positions it holds: they have to be 80 % of the template's grams and of the grams between the span's first and
+    last word in the text, so words strewn between the template's cost as much as words left out. Such a span
+    carries its label. ``score`` is 1 with a phrase, else the largest share of a span.
 
     Null and empty texts have no words, no labels and score 0; a text shorter than a gram can still hold
     a phrase; every row stands for itself, repeated ones too; extra columns are not carried; an empty
-    table gives no rows. Letters beyond A-Z are lower-cased as well, which changes no phrase or template.
+    table gives no rows. Only A-Z is lower-cased.
     """
     spark = docs.sparkSession
-    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower()), F.lit(WORD), F.lit(0))
     read = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words.alias("words"))
     read = read.withColumn("joined", F.concat_ws(" ", "words"))
     for label, phrase in PHRASES.items():
@@ -105,8 +111,9 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     before = F.lag("diagonal").over(along)
     apart = hits.withColumn("new", F.when(F.col("diagonal") - before <= NEAR, 0).otherwise(1))
+    extent = F.max("spot_in_text") - F.min("spot_in_text") + 1
     spans = apart.withColumn("span", F.sum("new").over(along)).groupBy("row", "template", "label", "grams", "span").agg(
-        (F.count_distinct("spot") / F.first("grams")).alias("share")
+        (F.count_distinct("spot") / F.greatest(F.first("grams"), extent)).alias("share")
     )
     found = spans.groupBy("row").agg(
         F.collect_set(F.when(F.col("share") >= SHARE, F.col("label"))).alias("quoted"), F.max("share").alias("best")
@@ -132,7 +139,7 @@ def oracle() -> str:
     phrases = ", ".join(f"('{label}', '{phrase}')" for label, phrase in PHRASES.items())
     return rf"""
 WITH docs AS (
-  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS words FROM documents
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS words FROM documents
 ), spots AS (
   SELECT id, words, unnest(range(1, len(words) + 1)) AS spot FROM docs
 ), named AS (
@@ -147,7 +154,7 @@ WITH docs AS (
 ), template_grams AS (
   SELECT number, label, grams, spot - 1 AS spot, array_to_string(words[spot:spot + {GRAM - 1}], ' ') AS gram FROM template_spots
 ), hits AS (
-  SELECT s.id, t.number, t.label, t.grams, t.spot, s.spot - 1 - t.spot AS diagonal
+  SELECT s.id, t.number, t.label, t.grams, t.spot, s.spot AS here, s.spot - 1 - t.spot AS diagonal
   FROM spots s JOIN template_grams t ON array_to_string(s.words[s.spot:s.spot + {GRAM - 1}], ' ') = t.gram
 ), marked AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER along <= {NEAR} THEN 0 ELSE 1 END AS fresh FROM hits
@@ -155,7 +162,7 @@ WITH docs AS (
 ), spans AS (
   SELECT *, sum(fresh) OVER (PARTITION BY id, number ORDER BY diagonal) AS span FROM marked
 ), shares AS (
-  SELECT id, label, count(DISTINCT spot)::DOUBLE / any_value(grams) AS share FROM spans GROUP BY id, number, label, span
+  SELECT id, label, count(DISTINCT spot)::DOUBLE / greatest(any_value(grams), max(here) - min(here) + 1) AS share FROM spans GROUP BY id, number, label, span
 ), quoted AS (
   SELECT id, list(DISTINCT label) FILTER (WHERE share >= {SHARE}) AS labels, max(share) AS best FROM shares GROUP BY id
 )

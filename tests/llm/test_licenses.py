@@ -28,6 +28,13 @@ def test_scattered_grams_are_no_quote(spark):
     assert labels(spark, [text])[0]["labels"] == ""
 
 
+def test_words_strewn_between_a_template_are_no_quote(spark):
+    words = next(t for name, t in licenses.TEMPLATES if name == "bsd").split()
+    strewn = " ".join(f"{' '.join(words[i : i + 3])} filler" for i in range(len(words) - 2))
+    rows = labels(spark, [strewn, " ".join(words), " ".join(words).upper() + " \u0130\u212a"])
+    assert [r["labels"] for r in rows] == ["", "bsd", "bsd"] and rows[0]["score"] < 0.5
+
+
 def test_phrases(spark):
     rows = labels(spark, ["MIT-License, mit\nlicense! a mit license", "the Apache  License and the GENERAL public license", "mit", "license mit"])
     assert [(r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in rows] == [(3, 0, 5, "mit"), (2, 1, 5, "apache,gpl"), (0, None, None, ""), (0, None, None, "")]
