@@ -217,7 +217,7 @@ def search(index: DataFrame, queries: DataFrame, neighbours: int, block_rows: in
                 )
 
     # A task holds few of these wide rows at a time.
-    met = meetings.select("dim", "vectors", "ids", "links", "entry", "queries", F.rand(3).alias("deal"))
+    met = meetings.select("dim", "vectors", "ids", "links", "entry", "queries", F.xxhash64("dim", "shard", "block").alias("deal"))
     found = met.repartition(F.col("deal")).drop("deal").mapInArrow(find, "query_id long, query long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
