@@ -237,8 +237,8 @@ SQL["overwrite_partition"] = f"WITH {ARTICLES} SELECT id, category, substr(sha25
 SQL["audit_rows"] = """
 SELECT substr(sha256(CAST(user_id AS VARCHAR)), 1, 16) || '_enrich_queued_' || (epoch_us(ts) // 1000) AS "rowKey",
        substr(sha256(CAST(user_id AS VARCHAR)), 1, 16) AS "urlHash", 'enrich_queued' AS event,
-       '{"message":"' || event_type || '","event_id":' || event_id || '}' AS details, '2024-01-01' AS audit_date
-FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-01'"""
+       '{"message":"' || event_type || '","event_id":' || event_id || '}' AS details, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS audit_date
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"""
 
 SQL["error_rows"] = f"""
 WITH {SILVER}
@@ -559,7 +559,8 @@ SELECT query_id, q,
             WHEN k = 11 THEN 'date_from: later than date_to' END AS error
 FROM raw"""
 
-_PHONE_RULE, _EMAIL_RULE, _PII_RULE = RULES[2].name, RULES[3].name, RULES[0].name
+_PII_RULE, _PERSON_RULE, _PHONE_RULE, _EMAIL_RULE = [rule.name for rule in RULES]
+_PERSONS = r"len(list_filter(regexp_extract_all(text, '\p{Lu}\p{L}+'), lambda e: ends_with(e, 'er'))) > 0"
 SCANNED = f"""
 labelled AS (
   SELECT 'bronze' AS layer, id, concat_ws('|', CASE WHEN regexp_matches(b, {PHONE}) THEN '{_PHONE_RULE}' END,
@@ -567,6 +568,7 @@ labelled AS (
   FROM (SELECT id, CAST(to_json({{'id': id, 'title': title, 'text': text}}) AS VARCHAR) AS b FROM articles)
   UNION ALL
   SELECT 'silver', id, concat_ws('|', CASE WHEN {HAS_PII} THEN '{_PII_RULE}' END,
+           CASE WHEN {_PERSONS} THEN '{_PERSON_RULE}' END,
            CASE WHEN regexp_matches(b, {PHONE}) THEN '{_PHONE_RULE}' END,
            CASE WHEN regexp_matches(b, {EMAIL}) THEN '{_EMAIL_RULE}' END)
   FROM (SELECT id, text, CAST(to_json({{'id': id, 'text': text}}) AS VARCHAR) AS b FROM articles))"""
@@ -647,6 +649,16 @@ SQL["stream_dedup"] = f"""
 WITH {FILE_EVENTS} SELECT DISTINCT url_hash AS "urlHash", 'user' AS category FROM file_events
 WHERE event_type NOT IN ('error', 'view')"""
 
+SQL["stream_first"] = f"""
+WITH {FILE_EVENTS} SELECT DISTINCT url_hash, 'user' AS category FROM file_events WHERE event_type NOT IN ('error', 'view')"""
+
+SQL["consume_pending"] = f"""
+WITH {ARTICLES} SELECT substr(sha256(url), 1, 16) AS "urlHash", category, 2 AS attempts FROM articles WHERE category = 'fr'"""
+
+SQL["source_names"] = f"""
+WITH {ARTICLES}
+SELECT CASE WHEN doc_id % 11 > 0 THEN source ELSE category END AS name, doc_id % 11 > 0 AS usable, count(*) AS n FROM articles GROUP BY ALL"""
+
 SQL["stream_hourly"] = f"SELECT {_HOUR}, count(*) AS n FROM events WHERE contains(event_type, 'e') AND {_CLOSED} GROUP BY ALL"
 SQL["stream_latency"] = f"SELECT {_HOUR}, {_LATENCY} FROM events WHERE {_CLOSED} GROUP BY ALL"
 SQL["stream_alert"] = _sliding(5, 1, "CAST(count(*) AS DOUBLE)", 2, closed=True)

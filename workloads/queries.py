@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,6 +149,18 @@ def extract_text(spark, sf_dir):
     )
 
 
+@query
+def source_names(spark, sf_dir):
+    """Articles per publisher, whose name comes as a field of a struct or as plain text; those without URL are told apart."""
+    found = t.articles(spark, sf_dir).withColumn("url", F.when(F.pmod("doc_id", F.lit(11)) > 0, F.col("url")))
+    known, unknown = sources.split_missing_url(found)
+    owner = F.struct(F.lit(None).cast("string").alias("id"), F.col("source").alias("name")).alias("source")
+    named = known.select(owner)
+    named = named.select(text.source_name("source", named.schema["source"].dataType).alias("name"), F.lit(True).alias("usable"))
+    plain = unknown.select(text.source_name("category", T.StringType()).alias("name"), F.lit(False).alias("usable"))
+    return named.union(plain).groupBy("name", "usable").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def text_source(spark, sf_dir):
     """Conversation turns: assistants supply the content, users the description, the rest a title only."""
@@ -348,8 +360,8 @@ def audit_rows(spark, sf_dir):
     path = scratch_path(spark, "audit")
     events = t.logs(spark, sf_dir).withColumn("url_hash", text.url_hash(F.col("user_id").cast("string")))
     tables.append_audit(tables.audit_rows(events, "enrich_queued", ["message", "event_id"]), path)
-    day = tables.audits_by_date(spark, path, t.FIRST_DAY)
-    return _dates_as_text(day.select("rowKey", "urlHash", "event", "details", "audit_date"))
+    days = [tables.audits_by_date(spark, path, t.FIRST_DAY + timedelta(days=n)) for n in range(t.DAYS)]
+    return _dates_as_text(select.union_sources(days).select("rowKey", "urlHash", "event", "details", "audit_date"))
 
 
 @query
@@ -760,7 +772,9 @@ def validate_queries(spark, sf_dir):
 
 def _scanned(spark, sf_dir):
     raw = t.articles(spark, sf_dir).select("id", "title", "text")
-    enriched = t.silver(spark, sf_dir).select("id", "hasPii", F.col("body_snippet").alias("text"))
+    # Words in "er" stand for the names of persons.
+    person = F.transform("entities", lambda e: e.withField("category", F.when(e.text.endswith("er"), "Person").otherwise(e.category)))
+    enriched = t.silver(spark, sf_dir).select("id", "hasPii", F.col("body_snippet").alias("text"), person.alias("entities"))
     return governance.scan({"bronze": raw, "silver": enriched, "gold": raw})
 
 
@@ -884,6 +898,32 @@ def stream_dedup(spark, sf_dir):
     return pending.select("urlHash", "category")
 
 
+@query
+def stream_first(spark, sf_dir):
+    """First events by key as a purely streaming operator, over file events that arrive twice."""
+    root = scratch_path(spark, "first")
+    events = ingest.bronze_events(t.file_events(_event_stream(spark, sf_dir)))
+    twice = events.unionByName(events).select("url_hash", "category", "ingested_at")
+    found = ingest.dedup_stream(twice, ttl=None).select("url_hash", "category")
+    return _run_live(spark, found, root.rpartition("/")[2])
+
+
+@query
+def consume_pending(spark, sf_dir):
+    """Articles as pending work that a consumer takes in three runs; those in French fail until they are poison."""
+    root = scratch_path(spark, "consume")
+    work = t.articles(spark, sf_dir).select(
+        F.concat_ws("/", "category", F.col("article_date").cast("string"), F.col("id")).alias("blob_path"),
+        text.url_hash("url").alias("url_hash"), "category", F.col("published_at").alias("ingested_at"),
+    )
+    tables.write_pending(work, f"{root}/pending")
+    for _ in range(3):
+        stream = ingest.read_pending_stream(spark, f"{root}/pending")
+        ingest.consume(stream, lambda rows: rows.where(F.col("category") == "fr"), root, f"{root}/checkpoint", max_attempts=2).awaitTermination()
+    poison = tables.decode_pending(spark.read.schema(ingest.PENDING).parquet(f"{root}/poison"))
+    return _dates_as_text(poison.select("urlHash", "category", "attempts"))
+
+
 @query
 def stream_hourly(spark, sf_dir):
     return _run_live(spark, live.live_hourly_count(_log_stream(spark, sf_dir), "e"), "hourly")
