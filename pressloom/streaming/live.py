@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pressloom.operators.monitor import exception_alert, hourly_count, hourly_latency, queue_depth_alert
+from pressloom.operators.monitor import exception_alert, hourly_count, hourly_latency, latency_sketches, queue_depth_alert
 
 LATENESS = "1 hour"
 
@@ -26,6 +26,11 @@ def live_hourly_latency(logs: DataFrame, json_path: str, lateness: str = LATENES
     return hourly_latency(logs.withWatermark("ts", lateness), json_path)
 
 
+def live_latency_sketches(logs: DataFrame, json_path: str, lateness: str = LATENESS) -> DataFrame:
+    """Hourly latency sketches; unlike exact percentiles their state has a bounded size."""
+    return latency_sketches(logs.withWatermark("ts", lateness), json_path)
+
+
 def live_exception_alert(logs: DataFrame, threshold: float, lateness: str = LATENESS) -> DataFrame:
     return exception_alert(logs.withWatermark("ts", lateness), threshold)
 

@@ -655,6 +655,20 @@ WITH {FILE_EVENTS} SELECT DISTINCT url_hash, 'user' AS category FROM file_events
 SQL["consume_pending"] = f"""
 WITH {ARTICLES} SELECT substr(sha256(url), 1, 16) AS "urlHash", category, 2 AS attempts FROM articles WHERE category = 'fr'"""
 
+def _rollup(rows: str) -> str:
+    """Days, and weeks counted from the epoch."""
+    return f"""
+WITH found AS (SELECT CAST(ts AS TIMESTAMP) AS moment, CAST(json_extract_string(props, '$.k') AS BIGINT) AS ms FROM events WHERE {rows}),
+spans AS (
+  SELECT 'day' AS span, date_trunc('day', moment) AS since, ms FROM found
+  UNION ALL SELECT 'week', make_timestamp((epoch(moment)::BIGINT // 604800) * 604800 * 1000000), ms FROM found)
+SELECT span, strftime(since, '%Y-%m-%d %H:%M:%S') AS window_start, count(ms) AS n, round(sum(ms) / count(ms), 4) AS avg_ms, true AS within
+FROM spans GROUP BY span, since"""
+
+
+SQL["latency_rollup"] = _rollup("true")
+SQL["stream_latency_rollup"] = _rollup(_CLOSED)
+
 SQL["source_names"] = f"""
 WITH {ARTICLES}
 SELECT CASE WHEN doc_id % 11 > 0 THEN source ELSE category END AS name, doc_id % 11 > 0 AS usable, count(*) AS n FROM articles GROUP BY ALL"""

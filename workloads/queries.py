@@ -828,6 +828,42 @@ def hourly_latency(spark, sf_dir):
     return _dates_as_text(monitor.hourly_latency(t.logs(spark, sf_dir), "$.k"))
 
 
+def _sketch_report(spark, sf_dir, hours):
+    """Stored hourly sketches merged to days and these to weeks; whether each 95th percentile is within one percent of ranks."""
+    days = monitor.rollup_latency(hours)
+    both = monitor.sketched_latency(days).withColumn("span", F.lit("day")).union(
+        monitor.sketched_latency(monitor.rollup_latency(days, "7 days")).withColumn("span", F.lit("week"))
+    )
+    values = t.logs(spark, sf_dir).select("ts", F.get_json_object("props", "$.k").try_cast("bigint").alias("ms"))
+    values = values.join(hours.select("window_start", "window_end"), (F.date_trunc("hour", "ts") == F.col("window_start")), "left_semi")
+    spans = [
+        F.struct(F.lit(name).alias("span"), F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / seconds) * seconds).alias("window_start"))
+        for name, seconds in (("day", 86_400), ("week", 7 * 86_400))
+    ]
+    placed = values.select("ms", F.inline(F.array(*spans))).join(F.broadcast(both), ["span", "window_start"])
+    ranks = placed.groupBy("span", "window_start", "n", "avg_ms").agg(
+        F.avg((F.col("ms") < F.col("quantile_ms")).cast("double")).alias("below"), F.avg((F.col("ms") <= F.col("quantile_ms")).cast("double")).alias("upto")
+    )
+    within = (F.col("below") <= 0.96) & (F.col("upto") >= 0.94)
+    return _dates_as_text(ranks.select("span", "window_start", "n", "avg_ms", within.alias("within")))
+
+
+@query
+def latency_rollup(spark, sf_dir):
+    path = scratch_path(spark, "sketches")
+    monitor.latency_sketches(t.logs(spark, sf_dir), "$.k").write.parquet(path)
+    return _sketch_report(spark, sf_dir, spark.read.parquet(path))
+
+
+@query
+def stream_latency_rollup(spark, sf_dir):
+    """The same from sketches that a stream wrote for the hours it has closed."""
+    root = scratch_path(spark, "live-sketches")
+    stream = live.live_latency_sketches(_log_stream(spark, sf_dir), "$.k")
+    live.run_available(stream, f"{root}/out", f"{root}/checkpoint")
+    return _sketch_report(spark, sf_dir, spark.read.schema(stream.schema).parquet(f"{root}/out"))
+
+
 @query
 def alerts_5m_1m(spark, sf_dir):
     return _dates_as_text(monitor.exception_alert(t.logs(spark, sf_dir), threshold=2))
