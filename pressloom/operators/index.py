@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pressloom import schemas
 from pressloom.functions.text import tokenize
 from pressloom.operators.select import latest_per_key, removed_fields
-from pressloom.sources.tables import merge_upsert
+from pressloom.sources.tables import KEY_BUCKETS, merge_buckets
 
 
 def to_search_doc(silver: DataFrame) -> DataFrame:
@@ -35,8 +35,8 @@ def to_search_doc(silver: DataFrame) -> DataFrame:
     )
 
 
-def upsert_index(docs: DataFrame, index_path: str) -> dict[str, int]:
-    """Merge or upload documents by id into the stored index.
+def upsert_index(docs: DataFrame, index_path: str, buckets: int = KEY_BUCKETS) -> dict[str, int]:
+    """Merge or upload documents by id into the stored documents, in the folders of their ids alone.
 
     Documents whose id is blank are reported as failed and left out; of several documents with one
     id the most recently published wins.
@@ -44,7 +44,7 @@ def upsert_index(docs: DataFrame, index_path: str) -> dict[str, int]:
     keyed = F.coalesce(F.length("id") > 0, F.lit(False))
     counted = docs.agg(F.count(F.lit(1)).alias("total"), F.count_if(~keyed).alias("failed")).first()
     order = [F.desc_nulls_last("published_at"), F.asc_nulls_last("url"), F.asc_nulls_last("title")]
-    merged = merge_upsert(latest_per_key(docs.filter(keyed), ["id"], order), index_path, ["id"])
+    merged = merge_buckets(latest_per_key(docs.filter(keyed), ["id"], order), index_path, ["id"], buckets=buckets)
     return {
         "total": counted["total"],
         "succeeded": counted["total"] - counted["failed"],

@@ -12,8 +12,9 @@ from pressloom import schemas
 from pressloom.operators.index import to_search_doc, upsert_index
 from pressloom.operators.matching import backfill_candidates, backfill_stats
 from pressloom.operators.monitor import reported_errors
+from pressloom.operators.segments import refresh
 from pressloom.sources.articles import default_run_date, read_silver
-from pressloom.sources.tables import write_pending
+from pressloom.sources.tables import KEY_BUCKETS, write_pending
 
 
 def refresh_index(
@@ -22,17 +23,25 @@ def refresh_index(
     index_path: str,
     day: date | None = None,
     categories: Sequence[str] = schemas.CATEGORIES,
+    first: date | None = None,
+    terms_path: str | None = None,
+    buckets: int = KEY_BUCKETS,
 ) -> dict:
-    """Map one day of silver to search documents and upsert them; outcome 207 if any row was unusable."""
+    """Map silver of one day, or of all days from ``first`` to it, to search documents and upsert them.
+
+    Their terms become a segment of the index at ``terms_path``, if there is one. A new index gets ``buckets`` folders of
+    documents and of terms. Outcome 207 if any row was unusable.
+    """
     refresh_day = day or default_run_date()
-    silver = read_silver(spark, silver_root).filter(
-        (F.col("article_date") == F.lit(refresh_day)) & F.col("category").isin(list(categories))
-    )
+    days = F.col("article_date").between(F.lit(first or refresh_day), F.lit(refresh_day))
+    silver = read_silver(spark, silver_root).filter(days & F.col("category").isin(list(categories)))
     keyed = F.coalesce(F.length("id") > 0, F.lit(False))
     outcomes = silver.select(
         F.coalesce("url", "title", F.lit("unknown")).alias("id"), F.when(~keyed, "document has no id").alias("error")
     )
-    result = upsert_index(to_search_doc(silver), index_path)
+    result = upsert_index(to_search_doc(silver), index_path, buckets)
+    if terms_path:
+        refresh(to_search_doc(silver), terms_path, buckets=buckets)
     unusable = outcomes.filter(F.col("error").isNotNull())
     failed = unusable.count()
     return {

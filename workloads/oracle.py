@@ -371,8 +371,9 @@ SELECT id, CASE WHEN label = 'negative' THEN 'Update: ' || title ELSE title END
 
 SQL["index_refresh"] = f"""
 WITH {SILVER}
-SELECT id, category, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, label AS sentiment_label
-FROM silver WHERE article_date = DATE '2024-01-30'"""
+SELECT id, category, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, label AS sentiment_label,
+       len(list_filter({TOKENS.format('title')}, lambda w: w NOT IN {STOPS})) AS title_terms
+FROM silver"""
 
 SQL["index_stats"] = "SELECT count(*) AS document_count, true AS has_bytes FROM documents"
 

@@ -513,7 +513,7 @@ def index_upsert(spark, sf_dir):
     """All documents into the index, then a second version of the negative ones, read through the published view."""
     path = scratch_path(spark, "index")
     docs = index.to_search_doc(_silver_with_vectors(spark, sf_dir))
-    index.upsert_index(docs, path)
+    index.upsert_index(docs, path, BUCKETS)
     changed = docs.filter(F.col("sentiment_label") == "negative").withColumn("title", F.concat(F.lit("Update: "), "title"))
     index.upsert_index(changed, path)
     publish.publish(spark, "pressloom_index", path)
@@ -523,19 +523,20 @@ def index_upsert(spark, sf_dir):
 
 @query
 def index_refresh(spark, sf_dir):
-    """The refresh job for the last day, from silver stored by day, run twice."""
+    """The refresh job from silver stored by day, for two spans of days that overlap; documents and terms of the index."""
     root = scratch_path(spark, "refresh")
     _write_silver(t.silver(spark, sf_dir), f"{root}/silver")
-    for _ in range(2):
-        refresh_index(spark, f"{root}/silver", f"{root}/index", t.LAST_DAY, t.CATEGORIES)
+    for first, last in ((t.FIRST_DAY, t.FIRST_DAY + timedelta(days=19)), (t.FIRST_DAY + timedelta(days=14), t.LAST_DAY)):
+        refresh_index(spark, f"{root}/silver", f"{root}/index", last, t.CATEGORIES, first, f"{root}/terms", BUCKETS)
     docs = spark.read.parquet(f"{root}/index")
-    return _dates_as_text(docs.select("id", "category", "published_at", "sentiment_label"))
+    found = segments.open_index(spark, f"{root}/terms").forward().select("id", F.element_at("lens", 1).alias("title_terms"))
+    return _dates_as_text(docs.join(found, "id", "left").select("id", "category", "published_at", "sentiment_label", "title_terms"))
 
 
 @query
 def index_stats(spark, sf_dir):
     path = scratch_path(spark, "index")
-    index.upsert_index(index.to_search_doc(_silver_with_vectors(spark, sf_dir)), path)
+    index.upsert_index(index.to_search_doc(_silver_with_vectors(spark, sf_dir)), path, BUCKETS)
     stats = publish.index_stats(spark, path)
     return stats.select("document_count", (F.col("storage_bytes") > 0).alias("has_bytes"))
 
