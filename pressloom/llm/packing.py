@@ -20,8 +20,8 @@ LENGTH = 2048
 END_ID = 1
 #: Bytes of text handled at a time.
 BLOCK = 1 << 20
-#: New words given to the tokenizer in one text.
-TOGETHER = 64
+#: New words given to the tokenizer in one text, and texts in one call.
+TOGETHER, AT_ONCE = 64, 64
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -84,14 +84,19 @@ class WordIds:
         simple = [core for core in cores if core.isalpha() and max(core) < "\u0250"]
         found = self._of_letters(simple)
         rest = [core for core in cores if core not in found]
-        found |= zip(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        found |= zip(rest, self._encoded(rest))
         return [found[core] + self.marks[mark] for core, mark in plain]
 
+    def _encoded(self, texts: list[str]):
+        """Ids of each text; the tokenizer's results are much larger and kept for some texts at a time."""
+        for first in range(0, len(texts), AT_ONCE):
+            for found in self.tokenizer.encode_batch_fast(texts[first : first + AT_ONCE], add_special_tokens=False):
+                yield found.ids
+
     def _of_letters(self, cores: list[str]) -> dict[str, list[int]]:
         """Ids of words of letters, many in one text: each word ends with the only id of it that ends a word."""
         texts = [" ".join(cores[i : i + TOGETHER]) for i in range(0, len(cores), TOGETHER)]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        flat = np.array(list(itertools.chain.from_iterable(e.ids for e in found)), np.int64)
+        flat = np.fromiter(itertools.chain.from_iterable(self._encoded(texts)), np.int64)
         ends = np.flatnonzero(self.ends_word[flat]) + 1
         if len(ends) != len(cores):
             return {}
