@@ -25,6 +25,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__file`` and ``__row``, which tell every row from every other, however equal.
+
+    Rows of files are told by file and place in it; any other frame is staged with a number first. Both stay the
+    same when the frame is read again.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        found = docs.withColumns({"__file": F.xxhash64(F.col("_metadata.file_path")), "__row": F.col("_metadata.row_index")})
+        found.schema  # noqa: B018
+        return found
+    except AnalysisException:
+        return stage(docs.withColumns({"__file": F.lit(0).cast("long"), "__row": F.monotonically_increasing_id()}), "keyed")
+
+
 def returning_memory(function):
     """A batch function whose worker, kept for other tasks, gives freed memory back when it is done."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import index_within, maybe_broadcast, ordered, stage
+from pressloom.llm.common import keyed, index_within, maybe_broadcast, ordered, stage
 
 #: Weights dealt to the sources in code-point order, over and over; null comes last.
 WEIGHTS = (5, 2, 1)
@@ -80,9 +80,9 @@ def mix_sizes(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, se
     return _mixed(_sized(docs), weights, max_epochs, seed).select(F.col("_doc").alias("doc_id"), F.col("_source").alias("source"), *_ADDED)
 
 
-def _sized(docs: DataFrame) -> DataFrame:
+def _sized(docs: DataFrame, *more: str) -> DataFrame:
     columns = [F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie")]
-    return stage(docs.select(*columns), "mix-sized")
+    return stage(docs.select(*columns, *more), "mix-sized")
 
 
 def _mixed(sized: DataFrame, weights, max_epochs: int, seed: str) -> DataFrame:
@@ -114,14 +114,13 @@ def _mixed(sized: DataFrame, weights, max_epochs: int, seed: str) -> DataFrame:
 def mixture(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as it is taken, with its own columns.
 
-    Copies are planned on ids and sizes; the texts meet the plan once, where they are read if the plan is small
-    enough to broadcast. Rows equal in doc_id and text cannot be told apart and are taken equally often,
-    the mean of their copies.
+    Copies are planned on row keys and sizes; the texts meet the plan once, where they are read if the plan is
+    small enough to broadcast. Rows equal in doc_id and text are planned each for itself, like others.
     """
-    planned = _mixed(_sized(docs), weights, max_epochs, seed).groupBy("_doc", "_tie").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-    planned = stage(planned.where("_copies > 0"), "mix-plan")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_tie"))
-    taken = rows.join(maybe_broadcast(planned, planned.count()), same)
-    repeated = taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
-    return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    rows = keyed(docs)
+    planned = _mixed(_sized(rows, "__file", "__row"), weights, max_epochs, seed).where("copies > 0")
+    planned = stage(planned.select(F.col("__file").alias("_in"), F.col("__row").alias("_at"), F.col("copies").cast("int").alias("_copies")), "mix-plan")
+    whole = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), "__file", "__row")
+    taken = whole.join(maybe_broadcast(planned, planned.count()), (F.col("__file") == F.col("_in")) & (F.col("__row") == F.col("_at")))
+    repeated = taken.select("_whole", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
+    return repeated.select(*[F.col(f"_whole.`{c}`").alias(c) for c in docs.columns])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import maybe_broadcast, returning_memory, stage
+from pressloom.llm.common import keyed, maybe_broadcast, returning_memory, stage
 from pressloom.llm.graphs import components
 from pressloom.llm.words import Powers, chunks, mix64, text_bytes, word_hashes
 
@@ -91,7 +91,8 @@ def set_names(hashes: np.ndarray, places: np.ndarray):
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id``, ``tie``, ``n``, name of the set (``low``, ``high``) and ``bands`` of every row."""
+    """``doc_id``, ``tie``, ``n``, name of the set (``low``, ``high``) and ``bands`` of every row, and its key if it has one."""
+    keys_of = [c for c in ("__file", "__row") if c in docs.columns]
 
     def compute(batches):
         powers = Powers()
@@ -104,18 +105,20 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 keys = band_keys(sketch(hashes, places, BANDS * ROWS), BANDS, ROWS).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("tie").slice(a, b - a), pa.array(np.diff(places).astype(np.int64)), pa.array(low), pa.array(high), lists],
-                    names=["doc_id", "tie", "n", "low", "high", "bands"],
+                    [*[batch.column(c).slice(a, b - a) for c in ("doc_id", "tie", *keys_of)], pa.array(np.diff(places).astype(np.int64)), pa.array(low), pa.array(high), lists],
+                    names=["doc_id", "tie", *keys_of, "n", "low", "high", "bands"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    return rows.mapInArrow(returning_memory(compute), "doc_id long, tie long, n long, low long, high long, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), *keys_of, "text")
+    schema = ["doc_id long", "tie long", *[f"{c} long" for c in keys_of], "n long", "low long", "high long", "bands array<long>"]
+    return rows.mapInArrow(returning_memory(compute), ", ".join(schema))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``node`` and its whole ``shingles`` (sorted as unsigned 64-bit hashes) for classes of ``wanted`` (node, rep, low, high)."""
+    """``node`` and its whole ``shingles`` (sorted as unsigned 64-bit hashes) for classes of ``wanted`` (node, rep, rep_tie, low, high)."""
     side = maybe_broadcast(wanted, wanted.count())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "low", "high", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_tie"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, same).select("node", "low", "high", "text")
 
     def compute(batches):
         powers = Powers()
@@ -168,18 +171,26 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     alone: its own), kept says whether the row has it. Rows equal in doc_id and text are one document.
     Extra columns are not carried; an empty table gives no rows.
     """
+    joined = _grouped(docs, k, percent)
+    component = F.when(F.col("_found"), F.col("component")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "tie", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows of :func:`sketches` with ``root`` (a number of their group) and ``component`` (its smallest doc_id); ``_found``: not alone by rule."""
     rows = stage(sketches(docs, k), "near-sketches")
     filled = rows.where("n > 0")
-    classes = filled.groupBy("low", "high").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    # The row that stands for a class: the smallest id, null last, and of these the smallest hash of the text.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("first")
+    classes = filled.groupBy("low", "high").agg(first, F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = classes.select("low", "high", F.col("first.doc_id").alias("rep"), F.col("first.tie").alias("rep_tie"), "n", "bands")
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     links = _links(docs, classes, k, percent)
     roots = components(links)
     ids = classes.select("node", "low", "high", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = ids.groupBy("root").agg(F.min("rep").alias("component"))
-    named = ids.join(smallest, "root").select(F.col("low").alias("_low"), F.col("high").alias("_high"), "component", F.lit(True).alias("_found"))
-    joined = rows.drop("bands").join(named, (F.col("low") == F.col("_low")) & (F.col("high") == F.col("_high")) & (F.col("n") > 0), "left")
-    component = F.when(F.col("_found"), F.col("component")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "tie", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = ids.join(smallest, "root").select(F.col("low").alias("_low"), F.col("high").alias("_high"), "root", "component", F.lit(True).alias("_found"))
+    return rows.drop("bands").join(named, (F.col("low") == F.col("_low")) & (F.col("high") == F.col("_high")) & (F.col("n") > 0), "left")
 
 
 def _promising(members: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,7 +237,7 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     spread = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("_one"), F.max("node").alias("_other")).where("_one < _other").select("bucket")
     members = stage(spread.join(shared, "bucket"), "near-buckets")
-    wanted = members.select("node").distinct().join(classes.select("node", "rep", "low", "high", "n"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "rep", "rep_tie", "low", "high", "n"), "node")
     wanted = stage(wanted, "near-wanted")
     sets = stage(full_sets(docs, wanted, k), "near-sets")
     members = _promising(members, wanted, sets, percent)
@@ -270,7 +281,15 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
 
 
 def dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with their columns: one document per group."""
-    gone = stage(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("tie").alias("_tie")).distinct(), "near-gone")
-    matches = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_tie"))
-    return docs.join(maybe_broadcast(gone, gone.count()), matches, "left_anti")
+    """One row of ``docs`` per group of :func:`near_duplicates`, with its columns, and every row without words.
+
+    Of a group stays the row with the smallest doc_id (null last), of these the one with the smallest hash of its
+    text, of these the first; so of rows equal in all columns one stays.
+    """
+    rows = keyed(docs)
+    grouped = stage(_grouped(rows, k, percent).where("_found").select("root", "doc_id", "tie", "__file", "__row"), "near-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "__file", "__row")
+    firsts = grouped.groupBy("root").agg(F.min(order).alias("first")).select("first.__file", "first.__row")
+    # The rows of a group of copies are dealt by themselves, not by their group.
+    gone = stage(grouped.select("__file", "__row").join(firsts, ["__file", "__row"], "left_anti"), "near-gone")
+    return rows.join(maybe_broadcast(gone, gone.count()), ["__file", "__row"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -60,3 +60,13 @@ def test_awkward_rows(awkward, empty):
     assert made.count(6) in (0, 2, 4, 6)
     assert {r["size"] for r in mixed.collect()} == {"extra size"}
     assert mixing.mix(empty).count() == 0 and mixing.mixture(empty).count() == 0
+
+
+def test_equal_rows_are_planned_each_for_itself(spark):
+    """A source of equal rows comes near its target, however many of them there are and at any rate."""
+    rows = [(1, "a b c d", "hot")] * 300 + [(2, "e f", "cold")] * 200 + [(i, "one two three", "rest") for i in range(10, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    planned = {r["source"]: r["n"] for r in mixing.mix_sizes(docs).groupBy("source").sum("copies").toDF("source", "n").collect()}
+    made = {r["source"]: r["n"] for r in mixing.mixture(docs).groupBy("source").count().toDF("source", "n").collect()}
+    assert made == {s: n for s, n in planned.items() if n}
+    assert made["hot"] != 300

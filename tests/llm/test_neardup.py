@@ -111,5 +111,16 @@ def test_awkward_rows(awkward, empty):
     assert {r["component_id"] for r in rows if r["doc_id"] in (6, 7)} == {6}
     left = neardup.dedup(awkward)
     assert left.columns == awkward.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in left.collect() if r["doc_id"] is not None) == [(False, i) for i in (1, 2, 3, 4, 5, 6, 6, 8, 9)]
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in left.collect() if r["doc_id"] is not None) == [(False, i) for i in (1, 2, 3, 4, 5, 6, 8, 9)]
     assert neardup.near_duplicates(empty).count() == 0 and neardup.dedup(empty).count() == 0
+
+
+def test_rows_without_id_are_read_once_and_one_of_a_group_stays(spark):
+    words = [f"w{i}" for i in range(120)]
+    rows = [(None, " ".join(words[:60] + [f"x{i}"] + words[61:])) for i in range(200)] + [(None, "quite another text of some words")] * 5 + [(7, "a b c d e f")] * 3
+    docs = spark.createDataFrame([(d, t, f"note {t}") for d, t in rows], "doc_id long, text string, tie string")
+    assert [r["n"] for r in neardup.dedup(docs).groupBy("doc_id").count().toDF("doc_id", "n").orderBy("doc_id").collect()] == [2, 1]
+    classes = spark.createDataFrame([(i, None, h) for i, h in enumerate(r["h"] for r in docs.where("doc_id IS NULL").selectExpr("xxhash64(text) AS h").distinct().collect())], "node long, rep long, rep_tie long")
+    wanted = classes.selectExpr("*", "0L AS low", "0L AS high")
+    met = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]) & (wanted["rep_tie"] == neardup.F.xxhash64("text")))
+    assert met.count() == 205
