@@ -9,17 +9,21 @@ from pressloom.llm import langid, linededup, mixing, neardup, packing
 from pressloom.llm.common import stage, table
 from pressloom.session import tune
 
-#: Least mean probability of a document's language.
+#: Least mean probability of the language of a document that has no label.
 SURE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labelled documents; drop those whose language is unknown or unsure, fill in missing labels."""
+    """Learn from the labelled documents and fill in missing labels; drop texts of no language, and unlabelled ones unsure of theirs.
+
+    A document with a label goes only if its text has no letter.
+    """
     network = langid.train(docs)
     if not network.labels:
         return docs
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    sure = langid.predict(packed, network).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
+    known = F.col("row.lang").isNotNull() | (F.col("score") >= SURE)
+    sure = langid.predict(packed, network).where((F.col("lang_pred") != langid.UNKNOWN) & known)
 
     def column(name):
         own = F.col(f"row.`{name}`")
