@@ -15,7 +15,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Ten thousand long texts would be a batch of 100 MB, several times over in a task.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 _local_dirs: dict[str, str] = {}
