@@ -3,10 +3,11 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pressloom.operators import index, search, segments
+from pressloom.operators import index, search, segments, select
 from pressloom.operators.pages import BlockMatches
 from pressloom.sources.files import Folder
 
@@ -160,3 +161,30 @@ def test_pages_leave_most_blocks_unscored(spark, tmp_path):
     page = matches.best(F.lit(5)).collect()
     assert sum(read) < 30
     assert {r["id"] for r in page} <= {str(i) for i in range(0, 6400, 640)}
+
+
+def test_blocks_are_inverted_whole_from_batches_that_cut_them():
+    schema = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("lens", pa.list_(pa.int32())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.list_(pa.int32())))])
+    rows = [
+        (0, 0, [3, 0], ["a b", ""], [[2, 1], []]), (0, 63, [0, 4], ["", "b"], [[], [4]]),
+        (1, 1, [0, 0], ["", ""], [[], []]), (2, 5, [1, 1], ["c", "a"], [[1], [1]]),
+    ]
+    for cut in range(1, 5):
+        parts = [rows[i : i + cut] for i in range(0, 4, cut)]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in part], schema) for part in parts]
+        found = {(r["term"], r["block"]): r for batch in segments.inverted(2)(iter(batches)) for r in batch.to_pylist()}
+        assert sorted(found) == [("a", 0), ("a", 2), ("b", 0), ("c", 2)]
+        both = found["b", 0]
+        assert both["bits"] == 1 - (1 << 63) and both["tops"] == [(1 << 32) | 3, (4 << 32) | 4]
+        assert both["entries"] == [1, (63 << 48) | (1 << 32) | 4] and both["lens"] == [3, 4]
+        assert found["c", 2]["tops"] == [(1 << 32) | 1, None]
+
+
+def test_only_rows_of_repeated_keys_are_ranked(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("c", 3, None), ("c", None, "z")]
+    df = spark.createDataFrame(rows, "id string, at int, text string")
+    order = [F.desc_nulls_last("at")]
+    found = select.latest_of_repeated(df, ["id"], order)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, select.latest_per_key(df, ["id"], order).collect()))
+    unique = df.where("id = 'b'")
+    assert select.latest_of_repeated(unique, ["id"], order) is unique
