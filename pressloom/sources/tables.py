@@ -151,8 +151,8 @@ def merge_buckets(
 ) -> dict[str, int]:
     """:func:`merge_upsert` for a table in folders by the hash of its key: only folders with source rows are touched.
 
-    The touched folders are merged into a staging folder, checked, and moved in one by one; the others are
-    neither read nor written. A merge that dies between two moves is repeated whole: it gives the same rows.
+    The source is dealt into folders once. Those that the table lacks are moved in as they are; the touched folders
+    it has are merged into a staging folder, checked, and moved in one by one; the others are neither read nor written. A merge that dies between two moves is repeated whole: it gives the same rows.
     The table has the source's columns of the first merge and a column ``_bucket``, which readers drop.
     """
     spark = source.sparkSession
@@ -168,34 +168,62 @@ def merge_buckets(
         spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema.fields], F.lit(buckets).alias("_buckets")).coalesce(
             1
         ).write.parquet(schema_path)
-    source.write.parquet(f"{staged}/source")
-    source = spark.read.schema(source.schema).parquet(f"{staged}/source")
+    kept = spark.read.parquet(schema_path).schema
+    unknown = sorted(set(source.columns) - set(kept.names))
+    if unknown:
+        raise ValueError(f"source columns {unknown} are not in the target")
     number = key_bucket(keys, source.columns, buckets)
-    touched = sorted(row["b"] for row in source.select(number.alias("b")).distinct().collect())
-    present = [b for b in touched if f"_bucket={b}" in set(folder.children())]
+    dealt = source.withColumn("_bucket", number).hint("rebalance", "_bucket").write.partitionBy("_bucket")
+    dealt.option("compression", "zstd").parquet(f"{staged}/source")
+    source_schema = source.schema
+    touched = sorted(int(n.partition("=")[2]) for n in Folder(spark, f"{staged}/source").children() if n.startswith("_bucket="))
     for b in touched:
         Folder(spark, f"{path}/_bucket={b}").recover()
-    target = _bucket_rows(spark, path, present)
-    merged = merge_rows(target, source, keys, update_cols)
-    observation = Observation()
-    watched = merged.observe(
-        observation,
-        F.count_if(F.col("_change") == "inserted").alias("inserted"),
-        F.count_if(F.col("_change") == "updated").alias("updated"),
-        F.count_if(F.col("_copies") > 1).alias("ambiguous"),
-    )
-    # Stored rows stay in their folder, also those without a whole key, whose contents may have changed.
-    rows = watched.select(*columns, F.coalesce("_bucket", key_bucket(keys, source.columns, buckets)).alias("_bucket"))
-    rows.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{staged}/target")
-    seen = _metrics(observation, ("inserted", "updated", "ambiguous"))
-    if seen["ambiguous"]:
+    stored = set(folder.children())
+    # A folder that the table does not have yet is the source's own, unless its columns have other types.
+    same = all(kept[f.name].dataType == f.dataType for f in source_schema.fields)
+    present = [b for b in touched if f"_bucket={b}" in stored or not same]
+    new = [b for b in touched if b not in set(present)]
+
+    def dealt_rows(numbers: Sequence[int]) -> DataFrame:
+        if not numbers:
+            return spark.createDataFrame([], source_schema)
+        reader = spark.read.schema(source_schema).option("basePath", f"{staged}/source")
+        return reader.parquet(*[f"{staged}/source/_bucket={b}" for b in numbers]).select(*source_schema.names)
+
+    added = dealt_rows(new)
+    whole = added.dropna("any", subset=list(keys))
+    if not whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").isEmpty():
         Folder(spark, staged).remove()
         raise ValueError(f"several source rows share a key in {list(keys)}")
-    for name in Folder(spark, f"{staged}/target").children():
-        if name.startswith("_bucket="):
-            Folder(spark, f"{path}/{name}").replace_with(f"{staged}/target/{name}")
+    n_added = added.count()
+    seen = {"inserted": 0, "updated": 0}
+    if present:
+        source = dealt_rows(present)
+        target = _bucket_rows(spark, path, [b for b in present if f"_bucket={b}" in stored])
+        merged = merge_rows(target, source, keys, update_cols)
+        observation = Observation()
+        watched = merged.observe(
+            observation,
+            F.count_if(F.col("_change") == "inserted").alias("inserted"),
+            F.count_if(F.col("_change") == "updated").alias("updated"),
+            F.count_if(F.col("_copies") > 1).alias("ambiguous"),
+        )
+        # Stored rows stay in their folder, also those without a whole key, whose contents may have changed.
+        rows = watched.select(*columns, F.coalesce("_bucket", key_bucket(keys, source.columns, buckets)).alias("_bucket"))
+        rows.hint("rebalance", "_bucket").write.partitionBy("_bucket").option("compression", "zstd").parquet(f"{staged}/target")
+        seen = _metrics(observation, ("inserted", "updated", "ambiguous"))
+        if seen["ambiguous"]:
+            Folder(spark, staged).remove()
+            raise ValueError(f"several source rows share a key in {list(keys)}")
+        for name in Folder(spark, f"{staged}/target").children():
+            if name.startswith("_bucket="):
+                Folder(spark, f"{path}/{name}").replace_with(f"{staged}/target/{name}")
+    for b in new:
+        Folder(spark, f"{path}/_bucket={b}").replace_with(f"{staged}/source/_bucket={b}")
     Folder(spark, staged).remove()
-    return {"inserted": seen["inserted"], "updated": seen["updated"], "total": seen["inserted"] + seen["updated"]}
+    inserted, updated = seen["inserted"] + n_added, seen["updated"]
+    return {"inserted": inserted, "updated": updated, "total": inserted + updated}
 
 
 def _bucket_rows(spark: SparkSession, path: str, buckets: Sequence[int]) -> DataFrame:
