@@ -60,8 +60,12 @@ MIXED_THRESHOLD = 0.3
 
 
 def cluster_by_id(df: DataFrame) -> DataFrame:
-    """Hash-partition by article id, once, ahead of groupings by (id, ...)."""
-    return df.repartition("id")
+    """Hash-partition by article id, once, ahead of groupings by (id, ...).
+
+    The number is given, so that adaptive execution does not merge partitions by the size of the texts: the rows of
+    their words take many times as much.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
 
 
 def score_sentiment(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:

@@ -243,3 +243,10 @@ def test_a_long_name_costs_nothing_where_its_first_word_is_missing(spark):
     assert sorted((r["id"], r["text"]) for r in found) == [("a", "New York"), ("a", "York"), ("a", "York"), ("b", long_name)]
     short = enrich.gazetteer_mentions(texts(spark, {"b": f"The {long_name} met"}), gazetteer, max_words=5)
     assert short.count() == 0
+
+
+def test_texts_keep_their_partitions(spark):
+    """Adaptive execution would merge them by the size of the texts, not of the word rows made of them."""
+    docs = spark.createDataFrame([("1", "some words")], "id string, text string")
+    plan = enrich.cluster_by_id(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
