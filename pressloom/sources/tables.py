@@ -133,6 +133,10 @@ def merge_upsert(
     return {"inserted": seen["inserted"], "updated": seen["updated"], "total": seen["inserted"] + seen["updated"]}
 
 
+#: Keys of a source up to this many are broadcast to the stored rows, about 60 bytes each.
+REPLACED_KEYS = 2_000_000
+#: Rows are gathered by folder where files would get smaller than this, or have come down to a quarter of it.
+SMALL_FILE = 1 << 20
 #: Folders of a table merged by key; a table keeps the number it was created with.
 KEY_BUCKETS = 64
 
@@ -151,8 +155,9 @@ def merge_buckets(
 ) -> dict[str, int]:
     """:func:`merge_upsert` for a table in folders by the hash of its key: only folders with source rows are touched.
 
-    The source is dealt into folders once. Those that the table lacks are moved in as they are; the touched folders
-    it has are merged into a staging folder, checked, and moved in one by one; the others are neither read nor written. A merge that dies between two moves is repeated whole: it gives the same rows.
+    The source is dealt into folders once. Those that the table lacks are moved in as they are; of the touched folders
+    it has, the rows that the source does not replace join the source's, or, where rows are not replaced as a whole,
+    both are merged into a staging folder; the folders are checked and moved in one by one; the others are neither read nor written. A merge that dies between two moves is repeated whole: it gives the same rows.
     The table has the source's columns of the first merge and a column ``_bucket``, which readers drop.
     """
     spark = source.sparkSession
@@ -173,7 +178,7 @@ def merge_buckets(
     if unknown:
         raise ValueError(f"source columns {unknown} are not in the target")
     number = key_bucket(keys, source.columns, buckets)
-    dealt = source.withColumn("_bucket", number).hint("rebalance", "_bucket").write.partitionBy("_bucket")
+    dealt = _gathered(source.withColumn("_bucket", number), buckets).write.partitionBy("_bucket")
     dealt.option("compression", "zstd").parquet(f"{staged}/source")
     source_schema = source.schema
     touched = sorted(int(n.partition("=")[2]) for n in Folder(spark, f"{staged}/source").children() if n.startswith("_bucket="))
@@ -198,7 +203,12 @@ def merge_buckets(
         raise ValueError(f"several source rows share a key in {list(keys)}")
     n_added = added.count()
     seen = {"inserted": 0, "updated": 0}
-    if present:
+    replaced = None
+    if present and same and update_cols is None and set(source.columns) == set(columns):
+        replaced = _keep_others(spark, path, f"{staged}/source", present, dealt_rows(present), keys)
+    if replaced is not None:
+        seen = replaced
+    elif present:
         source = dealt_rows(present)
         target = _bucket_rows(spark, path, [b for b in present if f"_bucket={b}" in stored])
         merged = merge_rows(target, source, keys, update_cols)
@@ -219,13 +229,49 @@ def merge_buckets(
         for name in Folder(spark, f"{staged}/target").children():
             if name.startswith("_bucket="):
                 Folder(spark, f"{path}/{name}").replace_with(f"{staged}/target/{name}")
-    for b in new:
+    for b in new if replaced is None else touched:
         Folder(spark, f"{path}/_bucket={b}").replace_with(f"{staged}/source/_bucket={b}")
     Folder(spark, staged).remove()
     inserted, updated = seen["inserted"] + n_added, seen["updated"]
     return {"inserted": inserted, "updated": updated, "total": inserted + updated}
 
 
+def _gathered(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows for a write into folders by ``_bucket``: gathered by folder, unless the files that the rows come from are so
+    large that tasks for all cores can each write a sound file into every folder; then no row travels."""
+    spark = rows.sparkSession
+    tasks = sum(Folder(spark, name).size()[0] for name in rows.inputFiles()) // (2 * SMALL_FILE * buckets)
+    return rows.coalesce(tasks) if tasks >= spark.sparkContext.defaultParallelism else rows.hint("rebalance", "_bucket")
+
+
+def _keep_others(
+    spark: SparkSession, path: str, staged: str, buckets: Sequence[int], source: DataFrame, keys: Sequence[str]
+) -> dict[str, int] | None:
+    """Add the stored rows of some folders that no source row replaces to the staged source, and count the others.
+
+    Rows stay in their folder, so only keys travel: up to ``REPLACED_KEYS`` of the source are broadcast. None, and
+    nothing is written, if the table holds several rows of a replaced key (each of them has to become the new one) or
+    the source does, which the general merge reports.
+    """
+    target = _bucket_rows(spark, path, buckets)
+    incoming = source.select(*keys).dropna("any").groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = incoming.agg(F.count(F.lit(1)).alias("n"), F.max("_copies").alias("most")).first()
+    few = counted["n"] <= REPLACED_KEYS
+    side = F.broadcast(incoming.select(*keys)) if few else incoming.select(*keys)
+    met = target.select(*keys).join(side, list(keys), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    updated = met.agg(F.count(F.lit(1)).alias("n"), F.max("_copies").alias("most")).first()
+    if max(counted["most"] or 1, updated["most"] or 1) > 1:
+        return None
+    sizes = [Folder(spark, f"{path}/_bucket={b}").size() for b in buckets]
+    n = source.count()
+    kept = target.join(side, list(keys), "left_anti")
+    # Every task writes a file into each folder it has rows of: gathered first if files are small by now.
+    if not few or sum(length for length, _ in sizes) < SMALL_FILE // 4 * sum(n for _, n in sizes):
+        kept = kept.hint("rebalance", "_bucket")
+    kept.write.mode("append").partitionBy("_bucket").option("compression", "zstd").parquet(staged)
+    return {"inserted": n - updated["n"], "updated": updated["n"]}
+
+
 def _bucket_rows(spark: SparkSession, path: str, buckets: Sequence[int]) -> DataFrame:
     """Rows of some folders with their ``_bucket``; other folders are not listed."""
     kept = spark.read.parquet(f"{path}/_schema")

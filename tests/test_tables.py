@@ -231,6 +231,35 @@ def test_merge_buckets_equals_a_whole_merge(spark, tmp_path):
         assert sorted(map(tuple, tables.bucketed_table(spark, path).collect()), key=str) == sorted(map(tuple, spark.read.parquet(whole).collect()), key=str)
 
 
+def test_whole_rows_are_replaced_without_moving_the_others(spark, tmp_path, monkeypatch):
+    random.seed(5)
+    path, whole = str(tmp_path / "buckets"), str(tmp_path / "whole")
+    joined = []
+    merge = tables.merge_rows
+    for turn in range(4):
+        rows = [(k, f"a{turn}", f"b{k}") for k in random.sample(range(300), 40 if turn else 200)] + [(None, f"n{turn}", None)]
+        source = spark.createDataFrame(rows, MERGED)
+        if turn == 2:
+            # From files that count as large: dealt by the tasks that read them.
+            source.write.parquet(f"{tmp_path}/stored")
+            source = spark.read.parquet(f"{tmp_path}/stored")
+            monkeypatch.setattr(tables, "SMALL_FILE", 1)
+        if turn == 3:
+            monkeypatch.setattr(tables, "REPLACED_KEYS", 10)
+        want = tables.merge_upsert(source, whole, ["k"])
+        monkeypatch.setattr(tables, "merge_rows", lambda *args: (joined.append(turn), merge(*args))[1])
+        assert tables.merge_buckets(source, path, ["k"], buckets=8) == want
+        monkeypatch.setattr(tables, "merge_rows", merge)
+        assert sorted(map(tuple, tables.bucketed_table(spark, path).collect()), key=str) == sorted(map(tuple, spark.read.parquet(whole).collect()), key=str)
+    assert joined == []
+    # Every stored copy of a key becomes the new row, by the general merge.
+    for folder in glob.glob(f"{path}/_bucket=*"):
+        spark.read.parquet(folder).where("k is not null").write.mode("append").parquet(folder)
+    k = next(r["k"] for r in spark.read.parquet(whole).where("k is not null").collect())
+    assert tables.merge_buckets(spark.createDataFrame([(k, "new", "new")], MERGED), path, ["k"])["updated"] == 2
+    assert tables.bucketed_table(spark, path).where("a = 'new'").count() == 2
+
+
 def test_merge_buckets_touches_only_folders_with_source_rows(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "buckets")
     tables.merge_buckets(spark.createDataFrame([(k, "a", "b") for k in range(200)], MERGED), path, ["k"], buckets=16)
