@@ -154,7 +154,9 @@ def _meet(asked: DataFrame, chosen: DataFrame, store: CellStore, k: int, per_pas
     chosen.write.parquet(path)
     chosen = spark.read.schema(chosen.schema).parquet(path)
     filters = [c for c in FILTERS if c in asked.columns]
-    columns = ["query_id", "qvec", *filters]
+    # What a request has found so far bounds what it still looks for.
+    bounds = [c for c in ("least",) if c in asked.columns]
+    columns = ["query_id", "qvec", *filters, *bounds]
     cells = [row["cell"] for row in chosen.select("cell").distinct().collect()]
     vectors = store.vectors.where(F.col("cell").isin(cells))
     attributes = [c for c in ("doc_category", "doc_source", "doc_sentiment") if c in vectors.columns]
@@ -163,7 +165,7 @@ def _meet(asked: DataFrame, chosen: DataFrame, store: CellStore, k: int, per_pas
     schema = "query_id bigint, id string, score double"
     start = nearest_start(filters, k)
     if asked.count() <= per_pass:
-        rows = {row["query_id"]: row for row in asked.select(*columns).collect()}
+        rows = {row["query_id"]: row.asDict() for row in asked.select(*columns).collect()}
         by_cell: dict[int, list] = {}
         for row in chosen.collect():
             by_cell.setdefault(row["cell"], []).append(rows[row["query_id"]])
@@ -187,7 +189,7 @@ def _meet(asked: DataFrame, chosen: DataFrame, store: CellStore, k: int, per_pas
     questions = questions.select(F.col("cell").alias("block"), group.alias("deal"), F.lit(False).alias("candidate"), *columns)
     answers = candidates.join(F.broadcast(load), "cell").select(F.col("cell").alias("block"), each.alias("deal"), F.lit(True).alias("candidate"), *[c for c in candidates.columns if c != "cell"])
     met = questions.unionByName(answers, allowMissingColumns=True).repartition("block", "deal").sortWithinPartitions("block", "deal", "candidate")
-    return top_k(met.mapInArrow(meetings(filters, k), schema), k)
+    return top_k(met.mapInArrow(meetings(filters, k, *bounds), schema), k)
 
 
 def knn_cells(requests: DataFrame, store: CellStore, k: int, exact: bool = False, first: int = FIRST_CELLS, per_pass: int = QUERIES_PER_PASS) -> DataFrame:
@@ -210,5 +212,5 @@ def knn_cells(requests: DataFrame, store: CellStore, k: int, exact: bool = False
     near = spark.read.schema(near.schema).parquet(path)
     least = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
     again = asked.join(F.broadcast(least) if small(least, QUERIES_PER_PASS) else least, "query_id", "left").withColumn("begun", F.lit(True))
-    far = _meet(asked, _choose(again, store, first, exact), store, k, per_pass)
+    far = _meet(again, _choose(again, store, first, exact), store, k, per_pass)
     return top_k(near.drop("rank").union(far.drop("rank")), k)

@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,21 @@ def test_empty_store_and_no_requests(spark, vectors, asked, store, tmp_path):
     nothing = cells.write_cells(vectors.limit(0), str(tmp_path / "store"))
     assert cells.knn_cells(asked, nothing, 3).count() == 0
     assert cells.knn_cells(asked.limit(0), store, 3).count() == 0
+
+
+def test_candidates_below_a_known_bound_are_not_kept():
+    vectors = points(3000, 5)
+    ids = np.array([str(i) for i in range(3000)], dtype=object)
+    cosines = np.round((vectors[:7] / np.linalg.norm(vectors[:7], axis=1)[:, None]) @ (vectors / np.linalg.norm(vectors, axis=1)[:, None]).T, 9)
+    rows = [{"query_id": i, "qvec": vectors[i].tolist(), "least": None if i < 5 else float(np.sort(cosines[i])[-3])} for i in range(7)]
+    take, results = search.nearest_start([], 10)(rows)
+    for first in range(0, 3000, 800):
+        part = slice(first, first + 800)
+        take(pa.RecordBatch.from_arrays([pa.array(ids[part], pa.string()), pa.array(list(vectors[part]))], ["id", "content_vector"]))
+    found = {}
+    for batch in results():
+        for row in batch.to_pylist():
+            found.setdefault(row["query_id"], []).append((-row["score"], row["id"]))
+    for i in range(7):
+        want = sorted(zip((-cosines[i]).tolist(), ids))[: 10 if i < 5 else 3]
+        assert [x for _, x in sorted(found[i])] == [x for _, x in want]
