@@ -11,6 +11,7 @@ from pressloom import schemas
 from pressloom.operators import enrich, gold, index, matching, search
 from pressloom.session import scratch_path, small
 from pressloom.sources import tables
+from workloads import tables as t
 
 #: Queries whose result is read back from files: their plans are plain scans.
 LAZY = (
@@ -99,3 +100,21 @@ def test_folder_write_splits_by_size_not_by_key(spark):
 
 def test_small(spark):
     assert small(spark.range(10), 10) and not small(spark.range(11), 10)
+
+
+def test_texts_stay_where_few_labels_and_vectors_meet_them(spark, tmp_path, monkeypatch):
+    sf_dir = str(tmp_path)
+    spark.createDataFrame([(i, f"Text {i}.", "en", "a", 7) for i in range(200)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 3)], "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    spark.createDataFrame([(i, [0.5, float(i)], 1) for i in range(0, 200, 7)], "vec_id long, embedding array<float>, label int").write.parquet(f"{sf_dir}/embeddings.parquet")
+    monkeypatch.setattr(t, "spread", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = t.search_corpus(spark, sf_dir)
+        assert "Exchange hashpartitioning" not in near._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(t, "BROADCAST_ROWS", 10)
+        met = t.search_corpus(spark, sf_dir)
+        assert "Exchange hashpartitioning" in met._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, near.collect())) == sorted(map(str, met.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -188,3 +188,10 @@ def test_only_rows_of_repeated_keys_are_ranked(spark):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, select.latest_per_key(df, ["id"], order).collect()))
     unique = df.where("id = 'b'")
     assert select.latest_of_repeated(unique, ["id"], order) is unique
+
+
+def test_counted_texts_go_when_they_are_in_the_segment(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "scratch_path", lambda session, label: f"{tmp_path}/{label}")
+    segments.refresh(spark.createDataFrame(make_docs(100, 3), SCHEMA), f"{tmp_path}/index", buckets=2)
+    assert Folder(spark, f"{tmp_path}/replaced").exists() and not Folder(spark, f"{tmp_path}/counted").exists()
+    assert segments.open_index(spark, f"{tmp_path}/index").forward().count() == 100
