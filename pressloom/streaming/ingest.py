@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pressloom import schemas
 from pressloom.functions.paths import container_from_subject, parse_bronze_path, path_from_subject
 from pressloom.operators.matching import drop_seen
+from pressloom.operators.select import latest_per_key
+from pressloom.sources.files import Folder
 from pressloom.sources.tables import (
     audit_rows,
     decode_pending,
@@ -84,7 +86,11 @@ def ingest_batch(dedup_path: str, pending_path: str, feed: str) -> Callable[[Dat
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = f"{feed}-{batch_id}"
-        fresh = drop_seen(batch, read_ingested(spark, dedup_path, except_batch=name))
+        # Events are parsed once; what is asked twice is the first event of each key.
+        first = Folder(spark, f"{pending_path}/_first.{name}")
+        latest_per_key(batch, ["url_hash"], [F.asc("ingested_at")]).write.mode("overwrite").parquet(first.path)
+        unique = spark.read.schema(batch.schema).parquet(first.path)
+        fresh = drop_seen(unique, read_ingested(spark, dedup_path, except_batch=name))
         overwrite_partition(pending_rows(fresh).withColumn("batch", F.lit(name)), pending_path, "batch", name)
         written = decode_pending(spark.read.schema(PENDING).parquet(f"{pending_path}/batch={name}"))
         marks = written.select(
@@ -94,6 +100,7 @@ def ingest_batch(dedup_path: str, pending_path: str, feed: str) -> Callable[[Dat
             F.col("ingestedAt").alias("ingested_at"),
         )
         mark_ingested(marks, dedup_path, name)
+        first.remove()
 
     return handle
 

@@ -1,5 +1,6 @@
 """Streams: ingest with dedup and replays, retries and poison, live windows equal to batch ones."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -164,3 +165,15 @@ def test_run_summary(spark):
     assert tuple(monitor.run_summary(outcomes).first()) == (100, 40, 60, 207)
     assert monitor.reported_errors(outcomes).count() == 50
     assert monitor.run_summary(outcomes.filter("error IS NULL")).first()["outcome"] == 200
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    read = []
+    whole = ingest.drop_seen
+    monkeypatch.setattr(ingest, "drop_seen", lambda events, *rest: (read.extend(events.inputFiles()), whole(events, *rest))[1])
+    rows = [(f"en/2024-01-01/h{i % 3}.json", "en", "2024-01-01", f"h{i % 3}", datetime(2024, 1, 1, 0, i)) for i in range(9)]
+    batch = spark.createDataFrame(rows, "blob_path string, category string, date_str string, url_hash string, ingested_at timestamp")
+    ingest.ingest_batch(f"{tmp_path}/ingested", f"{tmp_path}/pending", "feed")(batch, 0)
+    assert read and all("/_first.feed-0/" in name for name in read)
+    assert spark.read.parquet(f"{tmp_path}/pending/batch=feed-0").count() == 3
+    assert not [name for name in os.listdir(f"{tmp_path}/pending") if name.startswith("_first")]
