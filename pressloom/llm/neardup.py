@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import keyed, maybe_broadcast, returning_memory, stage
+from pressloom.llm.common import BROADCAST_ROWS, keyed, maybe_broadcast, returning_memory, stage
 from pressloom.llm.graphs import components
 from pressloom.llm.words import Powers, chunks, mix64, text_bytes, word_hashes
 
@@ -136,8 +136,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(returning_memory(compute), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``a``-``b`` pairs with 100 * intersection >= percent * union, on full sets."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, n_pairs: int) -> DataFrame:
+    """The ``a``-``b`` pairs, of which there are ``n_pairs``, with 100 * intersection >= percent * union, on full sets."""
 
     def check(batches):
         for batch in batches:
@@ -151,8 +151,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-    sides = sides.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+    if n_pairs <= BROADCAST_ROWS:
+        # Only sets of pairs travel, each dealt by its pair.
+        left = sets.join(F.broadcast(pairs), F.col("node") == F.col("a")).select("a", "b", F.col("shingles").alias("left"))
+        right = sets.join(F.broadcast(pairs), F.col("node") == F.col("b")).select("a", "b", F.col("shingles").alias("right"))
+        sides = left.join(right, ["a", "b"])
+    else:
+        sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+        sides = sides.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
     return sides.select("a", "b", "left", "right").mapInArrow(returning_memory(check), "a long, b long")
 
 
@@ -185,8 +191,7 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     classes = filled.groupBy("low", "high").agg(first, F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = classes.select("low", "high", F.col("first.doc_id").alias("rep"), F.col("first.tie").alias("rep_tie"), "n", "bands")
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    links = _links(docs, classes, k, percent)
-    roots = components(links)
+    roots = _roots(docs, classes, k, percent)
     ids = classes.select("node", "low", "high", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = ids.groupBy("root").agg(F.min("rep").alias("component"))
     named = ids.join(smallest, "root").select(F.col("low").alias("_low"), F.col("high").alias("_high"), "root", "component", F.lit(True).alias("_found"))
@@ -233,7 +238,8 @@ def _prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return one.join(other, (one["shingle"] == other["shingle"]) & (F.col("rx") != F.col("ry")) & enough).select("x", "y", "nx", "ny")
 
 
-def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _roots(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """``node`` and ``root`` of all classes that have a link; a round's links are added to the groups found before."""
     spread = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("_one"), F.max("node").alias("_other")).where("_one < _other").select("bucket")
     members = stage(spread.join(shared, "bucket"), "near-buckets")
@@ -241,15 +247,10 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     wanted = stage(wanted, "near-wanted")
     sets = stage(full_sets(docs, wanted, k), "near-sets")
     members = _promising(members, wanted, sets, percent)
-    links = tested = None
+    roots = tested = None
+    labelled = members.withColumn("root", F.col("node"))
     stars, round_ = STAR_ROUNDS, 0
     while True:
-        labelled = members
-        if links is not None:
-            labelled = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
-            labelled = members.withColumn("root", F.col("node"))
-        labelled = stage(labelled, "near-labelled")
         # First the member with the largest part of its set in others, which is the likeliest to be near to many.
         draw = F.xxhash64("node", F.lit(round_)) if round_ else -F.col("shared") / F.col("n")
         head = F.min(F.struct(draw.alias("draw"), "node", "root", "n"))
@@ -269,15 +270,21 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
         pairs = stage(pairs, "near-pairs")
         checks, confirms = pairs.count(), 0
         if checks:
-            new = stage(confirmed(pairs, sets, percent), "near-links")
+            new = stage(confirmed(pairs, sets, percent, checks), "near-links")
             confirms = new.count()
-            links = new if links is None else links.unionByName(new)
             tested = pairs if tested is None else tested.unionByName(pairs)
+        if confirms:
+            if roots is not None:
+                new = new.unionByName(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = components(new)
         if not stars:
             break
+        if confirms:
+            labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            labelled = stage(labelled, "near-labelled")
         stars = stars - 1 if confirms > STAR_YIELD * checks else 0
         round_ += 1
-    return links if links is not None else members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return roots if roots is not None else members.select("node", F.col("node").alias("root")).limit(0)
 
 
 def dedup(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

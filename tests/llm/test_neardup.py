@@ -124,3 +124,25 @@ def test_rows_without_id_are_read_once_and_one_of_a_group_stays(spark):
     wanted = classes.selectExpr("*", "0L AS low", "0L AS high")
     met = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]) & (wanted["rep_tie"] == neardup.F.xxhash64("text")))
     assert met.count() == 205
+
+
+def test_settled_links_take_one_round_and_one_file(spark, monkeypatch):
+    """Links to the smallest node are seen to be settled after one round, and few links are one file of each round."""
+    staged = []
+    monkeypatch.setattr(graphs, "stage", lambda df, label, stage=graphs.stage: staged.append(stage(df, label)) or staged[-1])
+    links = spark.createDataFrame([(i, 0) for i in range(1, 50)], "a long, b long").repartition(8)
+    assert {r["root"] for r in graphs.components(links).collect()} == {0}
+    assert len(staged) == 2 and len(staged[1].inputFiles()) == 1
+
+
+def test_rounds_without_links_contract_nothing(spark, monkeypatch):
+    """Links are contracted once where a later round finds no more."""
+    calls = []
+    monkeypatch.setattr(neardup, "components", lambda links, find=graphs.components: calls.append(links.count()) or find(links))
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(60)]
+    texts = [(i, " ".join([*base, f"x{i}"])) for i in range(12)]
+    texts += [(20, " ".join([*base[:20], *(f"y{i}" for i in range(60))])), (21, " ".join([*base[:20], *(f"z{i}" for i in range(60))]))]
+    rows = neardup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), 4).collect()
+    check(rows, texts, 4)
+    assert len(calls) == 1
