@@ -15,13 +15,20 @@ KEPT = 1 << 18
 LONGEST = 64
 
 
+def ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids in a row, and their lengths."""
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+
 class ChunkIds:
     """Ids of chunks of bytes by ``encode``, which is asked for chunks that are not in the table only.
 
+    ``encode`` returns the ids of all its chunks in a row and how many each chunk has.
+
     The table is a few flat arrays. A block's chunks are matched with it in one call, exactly, by their bytes.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], kept: int = KEPT):
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
         self.encode, self.kept = encode, kept
         self.words = pa.array([], pa.binary())
         self.flat, self.sizes, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -36,10 +43,9 @@ class ChunkIds:
         missing = np.flatnonzero(number < 0)
         if len(missing):
             new = chunks.take(pa.array(missing)).dictionary_encode()
-            lists = self.encode(new.dictionary.to_pylist())
+            more, each = self.encode(new.dictionary)
             number[missing] = len(words) + new.indices.to_numpy()
-            flat = np.concatenate([flat, np.fromiter(itertools.chain.from_iterable(lists), np.int32)])
-            sizes = np.concatenate([sizes, np.fromiter(map(len, lists), np.int64, len(lists))])
+            flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, each])
             words = pa.concat_arrays([words, new.dictionary])
         uses = np.bincount(number, minlength=len(words))
         uses[: len(self.uses)] += self.uses

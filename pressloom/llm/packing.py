@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import maybe_broadcast, returning_memory, stage
-from pressloom.llm.lookup import ChunkIds
+from pressloom.llm.lookup import ChunkIds, ragged
 from pressloom.llm.words import chunks, text_bytes
 
 LENGTH = 2048
@@ -22,6 +23,8 @@ END_ID = 1
 BLOCK = 1 << 20
 #: New words given to the tokenizer in one text, and texts in one call.
 TOGETHER, AT_ONCE = 64, 64
+#: Stands between new words that are not of ASCII letters alone; the tokenizer has one id for it.
+BETWEEN = "~"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,6 +50,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.marks = {mark: self.tokenizer.encode(mark, add_special_tokens=False).ids if mark else [] for mark in ("", ".", ",")}
+        self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -78,11 +82,32 @@ class WordIds:
         np.cumsum(np.bincount(owner, weights=each, minlength=len(offsets) - 1).astype(np.int64), out=places[1:])
         return ids, places
 
-    def _ids(self, words: list[bytes]) -> list[list[int]]:
-        plain = [_plain(word.decode().strip(" ")) for word in words]
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks in a row, and how many each has: of ASCII words, with or without a mark, all at once."""
+        words = pc.ascii_trim(words.cast(pa.string()), " ")
+        ascii_word = pc.match_substring_regex(words, "^[A-Za-z]+[.,]?$")
+        plain = words.filter(ascii_word)
+        cores = pc.ascii_lower(pc.ascii_rtrim(plain, ".,")).dictionary_encode()
+        parts = [self._of_letters(cores.dictionary.to_pylist()), ragged(self._others(words.filter(pc.invert(ascii_word)).to_pylist())), ragged([self.marks["."], self.marks[","], []])]
+        pool, each = (np.concatenate(x) for x in zip(*parts))
+        starts = np.cumsum(each) - each
+        # A chunk is one entry of the pool, and one for its mark.
+        here = ascii_word.to_numpy(zero_copy_only=False)
+        entry = np.full((len(words), 2), len(each) - 1)
+        entry[here, 0] = cores.indices.to_numpy()
+        entry[~here, 0] = len(cores.dictionary) + np.arange(len(words) - len(plain))
+        stop, comma = (pc.ends_with(plain, mark).to_numpy(zero_copy_only=False) for mark in (".", ","))
+        entry[here, 1] -= 2 * stop + comma
+        sizes = each[entry].ravel()
+        ends = np.cumsum(sizes)
+        flat = pool[np.repeat(starts[entry].ravel() - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        return flat, sizes.reshape(-1, 2).sum(axis=1)
+
+    def _others(self, words: list[str]) -> list[list[int]]:
+        plain = [_plain(word) for word in words]
         cores = list({core for core, _ in plain})
-        simple = [core for core in cores if core.isalpha() and max(core) < "\u0250"]
-        found = self._of_letters(simple)
+        apart = [core for core in cores if core and BETWEEN not in core]
+        found = dict(zip(apart, self._apart(apart)))
         rest = [core for core in cores if core not in found]
         found |= zip(rest, self._encoded(rest))
         return [found[core] + self.marks[mark] for core, mark in plain]
@@ -93,15 +118,22 @@ class WordIds:
             for found in self.tokenizer.encode_batch_fast(texts[first : first + AT_ONCE], add_special_tokens=False):
                 yield found.ids
 
-    def _of_letters(self, cores: list[str]) -> dict[str, list[int]]:
+    def _apart(self, cores: list[str]) -> list[list[int]]:
+        """Ids of words without :data:`BETWEEN`, many in one text with it between them."""
+        texts = ["".join(f"{core} {BETWEEN} " for core in cores[i : i + TOGETHER]) for i in range(0, len(cores), TOGETHER)]
+        flat = np.fromiter(itertools.chain.from_iterable(self._encoded(texts)), np.int32)
+        ends = np.flatnonzero(flat == self.between[0]) if len(self.between) == 1 else []
+        if len(ends) != len(cores):
+            return list(self._encoded(cores))
+        ends, flat = ends.tolist(), flat.tolist()
+        return [flat[a + 1 : b] for a, b in zip([-1, *ends], ends)]
+
+    def _of_letters(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, many in one text: each word ends with the only id of it that ends a word."""
         texts = [" ".join(cores[i : i + TOGETHER]) for i in range(0, len(cores), TOGETHER)]
-        flat = np.fromiter(itertools.chain.from_iterable(self._encoded(texts)), np.int64)
+        flat = np.fromiter(itertools.chain.from_iterable(self._encoded(texts)), np.int32)
         ends = np.flatnonzero(self.ends_word[flat]) + 1
-        if len(ends) != len(cores):
-            return {}
-        cuts, flat = [0, *ends.tolist()], flat.tolist()
-        return {core: flat[a:b] for core, a, b in zip(cores, cuts, cuts[1:])}
+        return (flat, np.diff(ends, prepend=0)) if len(ends) == len(cores) else ragged(list(self._encoded(cores)))
 
 
 def _plain(chunk: str) -> tuple[str, str]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pressloom.llm.common import returning_memory
-from pressloom.llm.lookup import ChunkIds
+from pressloom.llm.lookup import ChunkIds, ragged
 from pressloom.llm.words import chunks, text_bytes
 
 #: Bytes of text handled at a time.
@@ -203,7 +203,7 @@ class Pieces:
         spec = model.normalizer_spec
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         merging = SentencePieceProcessor(model_proto=model.SerializeToString())
-        self.table = ChunkIds(lambda words: merging.encode([w.decode() for w in words], num_threads=1), *([kept] if kept else []))
+        self.table = ChunkIds(lambda words: ragged(merging.encode([w.decode() for w in words.to_pylist()], num_threads=1)), *([kept] if kept else []))
         self.fallback = bool(model.trainer_spec.byte_fallback)
 
     @classmethod

@@ -75,3 +75,26 @@ def test_a_table_that_forgets(documents):
         ids, places = words.encode(*text_bytes(pa.array(some)))
         assert [[*ids[a:b].tolist(), 1] for a, b in zip(places[:-1], places[1:])] == expected_ids(some)
         assert len(words.table.words) <= 100
+
+
+def test_new_words_are_given_many_together(documents):
+    """The tokenizer gets far fewer texts than there are new words, whatever they are made of, and each word keeps its ids."""
+    odd = ["{0}-{0}x", "é{0}", "({0}", "~{0}", "a~b{0}.", "n{0}'s", "{0}\tö{0}", "<|endoftext|>{0}", "Σ{0}ς,"]
+    texts = [" ".join(word.format(i) for i in range(300) for word in odd)]
+    words = packing.WordIds(packing.tokenizer_path())
+    given, encoded = [], words._encoded
+    words._encoded = lambda texts: given.extend(texts) or encoded(texts)
+    ids, _ = words.encode(*text_bytes(pa.array(texts)))
+    assert [*ids.tolist(), 1] == expected_ids(texts)[0]
+    alone = sum("~" in w for w in set(texts[0].split(" ")))
+    assert len(given) < alone + 100
+
+
+def test_words_of_ascii_letters_need_no_step_each():
+    """ASCII words, marked or not, in any case, share one way through whole arrays."""
+    texts = ["Word word. word, WORD, other Other. x. y, z"]
+    words = packing.WordIds(packing.tokenizer_path())
+    others = []
+    words._others = lambda some, plain=words._others: others.extend(some) or plain(some)
+    ids, _ = words.encode(*text_bytes(pa.array(texts)))
+    assert [*ids.tolist(), 1] == expected_ids(texts)[0] and not others
