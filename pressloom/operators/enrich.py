@@ -7,12 +7,14 @@ as grouping below a single ``cluster_by_id``: the text is shuffled once and ever
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,6 @@ from pressloom.functions.text import (
     tokenize,
     truncate_words,
 )
-from pressloom.operators.select import top_n
 from pressloom.session import small
 
 EMPTY_TEXT = "Document text is empty"
@@ -236,17 +237,52 @@ def phrase_scores(
     """RAKE (Rose et al. 2010): ``id, phrase, score`` for every candidate phrase of every article.
 
     A word scores degree / frequency, which is the mean length of the phrases it occurs in; a phrase
-    scores the sum over its words. ``max_words`` drops longer phrases before scoring; by default none. ``df`` has ``id, text``, one row per article, and should be
-    partitioned by id.
+    scores the sum over its words. ``max_words`` drops longer phrases before scoring; by default none. ``df`` has ``id, text``, one row per article.
     """
-    phrases = df.select("id", F.posexplode(candidate_phrases("text", stop_words)).alias("place", "phrase"))
-    parts = phrases.withColumn("words", F.split("phrase", " "))
+    scored = df.select("id", F.explode(_scored("text", stop_words, max_words)).alias("p"))
+    return scored.select("id", "p.phrase", "p.score")
+
+
+def _scored(text: Column | str, stop_words: Iterable[str], max_words: int | None) -> Column:
+    """Distinct phrases of a text with their rounded scores."""
+    phrases = candidate_phrases(text, stop_words)
     if max_words is not None:
-        parts = parts.filter(F.size("words") <= max_words)
-    words = parts.select("id", "place", "phrase", F.size("words").alias("n"), F.explode("words").alias("word"))
-    weighted = words.withColumn("weight", F.avg("n").over(Window.partitionBy("id", "word")))
-    placed = weighted.groupBy("id", "phrase", "place").agg(F.sum("weight").alias("score"))
-    return placed.groupBy("id", "phrase").agg(F.round(F.max("score"), 6).alias("score"))
+        phrases = F.filter(phrases, lambda phrase: F.size(F.split(phrase, " ")) <= max_words)
+    scored = F.arrow_udf(_rake(), "array<struct<phrase:string,score:double>>")(phrases)
+    return F.transform(scored, lambda p: F.struct(p.phrase.alias("phrase"), F.round(p.score, 6).alias("score")))
+
+
+def _best(text: Column | str, n: int, stop_words: Iterable[str], max_words: int | None) -> Column:
+    """The ``n`` best phrases of a text as (-score, phrase), in order; only they leave its row."""
+    keyed = F.transform(_scored(text, stop_words, max_words), lambda p: F.struct((-p.score).alias("less"), p.phrase.alias("phrase")))
+    return F.slice(F.sort_array(keyed), 1, n)
+
+
+def _rake() -> Callable:
+    """Distinct phrases of each article with their scores; the words of an article never leave its row."""
+
+    def some(articles: pa.Array) -> pa.Array:
+        ends, found, scores = [0], [], []
+        for article in articles:
+            degree, frequency, parts = defaultdict(int), defaultdict(int), {}
+            for phrase in article.as_py() or ():
+                words = parts.get(phrase) or parts.setdefault(phrase, phrase.split(" "))
+                n = len(words)
+                for word in words:
+                    degree[word] += n
+                    frequency[word] += 1
+            weight = {word: total / frequency[word] for word, total in degree.items()}
+            found += parts
+            scores += [sum(map(weight.__getitem__, words)) for words in parts.values()]
+            ends.append(len(found))
+        rows = pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=["phrase", "score"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+    def scored(articles: pa.Array) -> pa.Array:
+        parts = [some(articles.slice(first, 200)) for first in range(0, len(articles), 200)]
+        return pa.concat_arrays(parts) if parts else some(articles)
+
+    return scored
 
 
 def top_phrases(
@@ -256,8 +292,8 @@ def top_phrases(
     max_words: int | None = None,
 ) -> DataFrame:
     """Best ``n`` phrases per article with their rank."""
-    scored = phrase_scores(df, stop_words, max_words)
-    return top_n(scored, ["id"], [F.desc("score"), F.asc("phrase")], n)
+    best = df.select("id", F.posexplode(_best("text", n, stop_words, max_words)).alias("place", "p"))
+    return best.select("id", "p.phrase", (-F.col("p.less")).alias("score"), (F.col("place") + 1).alias("rank"))
 
 
 def extract_phrases(
@@ -267,9 +303,8 @@ def extract_phrases(
     max_words: int | None = None,
 ) -> DataFrame:
     """``id, keyPhrases`` with the best phrase first; articles without a phrase have no row."""
-    ranked = top_phrases(df, n, stop_words, max_words)
-    ordered = F.sort_array(F.collect_list(F.struct("rank", "phrase")))
-    return ranked.groupBy("id").agg(F.transform(ordered, lambda p: p.phrase).alias("keyPhrases"))
+    best = df.select("id", _best("text", n, stop_words, max_words).phrase.alias("keyPhrases"))
+    return best.filter(F.size("keyPhrases") > 0)
 
 
 EMBEDDING_DIMS = 256
@@ -350,7 +385,7 @@ def annotate(
         named = scored.withColumn("entities", pattern_entities("text"))
     else:
         named = scored.join(extract_entities(texts, gazetteer), "id", "left")
-    return named.join(extract_phrases(texts, phrases), "id", "left")
+    return named.withColumn("keyPhrases", _best("text", phrases, STOP_WORDS, None).phrase)
 
 
 def build_silver(annotated: DataFrame, enriched_at: Column) -> DataFrame:

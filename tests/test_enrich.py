@@ -250,3 +250,10 @@ def test_texts_keep_their_partitions(spark):
     docs = spark.createDataFrame([("1", "some words")], "id string, text string")
     plan = enrich.cluster_by_id(docs)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_key_phrases_need_no_shuffle_of_words(spark):
+    """Phrases are scored and ranked inside the row: one shuffle of the article, no window and no join."""
+    prepared = spark.createDataFrame([("a", "Solar farms win. solar cells", "t")], "id string, text string, embedding_text string")
+    plan = enrich.annotate(prepared)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Join" not in plan
