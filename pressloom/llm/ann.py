@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,13 +16,18 @@ from pressloom.llm.common import stage
 SHARD_ROWS, BLOCK_ROWS, LINKS = 4096, 512, 12
 #: Nodes kept in sight while building and while searching.
 BUILD_SIGHT, SEARCH_SIGHT = 64, 96
+#: Nodes inserted together at most, nodes of one query looked around at once, and blocks of queries that meet a shard at once at most.
+TOGETHER, STEPS, BLOCKS = 256, 4, 8
+#: Vectors compared at once.
+ROWS = 2048
 _SEED = 11
 
 
 class Graph:
     """Layers of neighbour arrays over unit-like vectors; nearness is the inner product.
 
-    ``links[layer]`` is (nodes, width) with -1 where a node has fewer neighbours or is not on the layer.
+    ``links[layer]`` is (nodes, width) with -1 where a node has fewer neighbours or is not on the layer. Nodes are inserted
+    and searched for many at a time, so a step is one of arrays; those of one batch meet by the links of later ones.
     """
 
     def __init__(self, vectors: np.ndarray, links: list[np.ndarray], entry: int):
@@ -36,98 +41,139 @@ class Graph:
         top = int(heights.max(initial=0))
         links = [np.full((n, width * (1 if layer else 2)), -1, np.int32) for layer in range(top + 1)]
         graph = cls(vectors, links, 0)
-        reached = int(heights[0]) if n else 0
-        for node in range(1, n):
-            vector, height = vectors[node], int(heights[node])
-            starts = [graph.entry]
-            for layer in range(reached, -1, -1):
-                found = graph._near(vector, starts, sight if layer <= height else 1, layer)
-                if layer <= height:
-                    chosen = graph._diverse(found, links[layer].shape[1] // (1 if layer else 2))
-                    links[layer][node, : len(chosen)] = chosen
-                    for other in chosen:
-                        graph._link(other, node, layer)
-                starts = [i for _, i in found]
-            if height > reached:
-                reached, graph.entry = height, node
+        reached, done = int(heights[0]) if n else 0, 1
+        while done < n:
+            end = min(n, done + max(1, min(TOGETHER, done // 4)))
+            # A node above all others is the last of its batch, so that the next ones start from it.
+            taller = np.flatnonzero(heights[done:end] > reached)
+            end = done + int(taller[0]) + 1 if len(taller) else end
+            graph._insert(np.arange(done, end), heights[done:end], reached, sight)
+            if heights[end - 1] > reached:
+                reached, graph.entry = int(heights[end - 1]), end - 1
+            done = end
         return graph
 
-    def _near(self, vector, starts, sight, layer):
-        """Up to ``sight`` nodes, nearest first, as (nearness, node)."""
-        seen = np.zeros(len(self.vectors), bool)
-        seen[starts] = True
-        first = (self.vectors[starts] @ vector).tolist()
-        best = list(zip(first, starts))
-        heapq.heapify(best)
-        while len(best) > sight:
-            heapq.heappop(best)
-        open_ = [(-s, i) for s, i in zip(first, starts)]
-        heapq.heapify(open_)
-        links, vectors = self.links[layer], self.vectors
-        while open_:
-            near, node = heapq.heappop(open_)
-            if len(best) >= sight and -near < best[0][0]:
+    def _insert(self, nodes, heights, reached, sight):
+        starts = np.full((len(nodes), 1), self.entry)
+        for layer in range(reached, -1, -1):
+            there = np.full((len(nodes), sight), -1)
+            passing, staying = np.flatnonzero(heights < layer), np.flatnonzero(heights >= layer)
+            if len(passing):
+                there[passing, :1] = self._near(self.vectors[nodes[passing]], starts[passing], 1, layer)[0]
+            if len(staying):
+                found, scores = self._near(self.vectors[nodes[staying]], starts[staying], sight, layer)
+                there[staying] = found
+                chosen = self._diverse(found, scores, self.links[layer].shape[1] // (1 if layer else 2))
+                self.links[layer][nodes[staying], : chosen.shape[1]] = chosen
+                self._link(chosen, nodes[staying], layer)
+            starts = there
+
+    def _near(self, queries, starts, sight, layer):
+        """Up to ``sight`` nodes for each query, nearest first, and their nearness; -1 and -inf where there are fewer."""
+        n, links = len(self.vectors), self.links[layer]
+        seen = np.zeros(len(queries) * n, bool)
+        best = np.full((len(queries), sight), -np.inf, np.float32)
+        nodes = np.full((len(queries), sight), -1)
+        waiting = np.zeros((len(queries), sight), bool)
+        # Work arrays that are used again: new ones of this size cost more than what is done with them.
+        ours, theirs = np.empty((2, ROWS, queries.shape[1]), np.float32)
+
+        def meet(keys):
+            """Keep the nearest of new nodes and those kept before; a key tells a query and a node."""
+            seen[keys] = True
+            rows, ids = np.divmod(keys, n)
+            scores = np.empty(len(keys), np.float32)
+            for k in range(0, len(keys), ROWS):
+                m = min(ROWS, len(keys) - k)
+                np.take(self.vectors, ids[k : k + m], axis=0, out=ours[:m], mode="clip")
+                np.take(queries, rows[k : k + m], axis=0, out=theirs[:m], mode="clip")
+                np.einsum("ij,ij->i", ours[:m], theirs[:m], out=scores[k : k + m])
+            good = scores > best.min(axis=1)[rows]
+            rows, ids, scores = rows[good], ids[good], scores[good]
+            if not len(rows):
+                return
+            # Keys come in order, and so do rows.
+            new = np.append(True, rows[1:] != rows[:-1])
+            first, place = np.flatnonzero(new), np.cumsum(new) - 1
+            own, nth = rows[first], np.arange(len(rows)) - first[place]
+            more = np.full((len(own), int(nth.max()) + 1), -np.inf, np.float32)
+            names = np.full(more.shape, -1)
+            more[place, nth], names[place, nth] = scores, ids
+            every = np.concatenate([best[own], more], axis=1)
+            kept = np.argpartition(-every, sight - 1, axis=1)[:, :sight]
+            best[own] = np.take_along_axis(every, kept, axis=1)
+            nodes[own] = np.take_along_axis(np.concatenate([nodes[own], names], axis=1), kept, axis=1)
+            waiting[own] = np.take_along_axis(np.concatenate([waiting[own], names >= 0], axis=1), kept, axis=1)
+
+        rows, at = np.nonzero(starts >= 0)
+        meet(np.sort(rows * n + starts[rows, at]))
+        while True:
+            left = np.flatnonzero(waiting.any(axis=1))
+            if not len(left):
                 break
-            around = links[node]
-            around = around[around >= 0]
-            around = around[~seen[around]]
-            if not len(around):
-                continue
-            seen[around] = True
-            scores = vectors[around] @ vector
-            if len(best) >= sight:
-                good = scores > best[0][0]
-                around, scores = around[good], scores[good]
-            for score, other in zip(scores.tolist(), around.tolist()):
-                if len(best) < sight:
-                    heapq.heappush(best, (score, other))
-                elif score > best[0][0]:
-                    heapq.heapreplace(best, (score, other))
-                else:
-                    continue
-                heapq.heappush(open_, (-score, other))
-        return sorted(best, reverse=True)
-
-    def _diverse(self, found, limit):
-        """Nodes nearer to the new one than to any chosen before; the nearest others fill up."""
-        if len(found) <= limit:
-            return [i for _, i in found]
-        nodes = [i for _, i in found]
-        own = self.vectors[nodes]
-        between = own @ own.T
-        chosen, rest, closest = [], [], np.full(len(nodes), -np.inf, np.float32)
-        for at, (score, _) in enumerate(found):
-            if closest[at] < score:
-                chosen.append(at)
-                if len(chosen) == limit:
-                    break
-                np.maximum(closest, between[at], out=closest)
-            else:
-                rest.append(at)
-        chosen += rest[: limit - len(chosen)]
-        return [nodes[at] for at in chosen]
-
-    def _link(self, node, other, layer):
-        row = self.links[layer][node]
-        free = np.flatnonzero(row < 0)
-        if len(free):
-            row[free[0]] = other
-            return
-        around = [*row.tolist(), other]
-        scores = (self.vectors[around] @ self.vectors[node]).tolist()
-        chosen = self._diverse(sorted(zip(scores, around), reverse=True), len(row))
-        row[:] = -1
-        row[: len(chosen)] = chosen
-
-    def search(self, vector: np.ndarray, n: int, sight: int = SEARCH_SIGHT) -> np.ndarray:
-        """About the ``n`` nodes nearest to a vector; all nodes if there are no more than are kept in sight."""
+            scores = np.where(waiting[left], best[left], -np.inf)
+            some = min(STEPS, sight)
+            pick = np.argpartition(-scores, some - 1, axis=1)[:, :some]
+            at, nth = np.nonzero(np.take_along_axis(scores, pick, axis=1) > -np.inf)
+            rows, pick = left[at], pick[at, nth]
+            waiting[rows, pick] = False
+            around = links[nodes[rows, pick]]
+            there = around >= 0
+            keys = np.repeat(rows, around.shape[1])[there.ravel()] * n + around[there]
+            keys = np.sort(keys[~seen[keys]])
+            if len(keys):
+                meet(keys[np.append(True, keys[1:] != keys[:-1])])
+        order = np.argsort(-best, axis=1)
+        return np.take_along_axis(nodes, order, axis=1), np.take_along_axis(best, order, axis=1)
+
+    def _diverse(self, found, scores, limit):
+        """Of nodes, nearest first, those nearer to the new one than to any chosen before; the nearest others fill up."""
+        there = found >= 0
+        width = max(1, int(there.sum(axis=1).max(initial=0)))
+        found, scores, there = found[:, :width], scores[:, :width], there[:, :width]
+        if width > limit:
+            own = self.vectors[found]
+            between = own @ own.transpose(0, 2, 1)
+            chosen, closest, count = np.zeros(found.shape, bool), np.full(found.shape, -np.inf, np.float32), np.zeros(len(found), int)
+            for at in range(width):
+                take = np.flatnonzero(there[:, at] & (closest[:, at] < scores[:, at]) & (count < limit))
+                chosen[take, at] = True
+                count[take] += 1
+                closest[take] = np.maximum(closest[take], between[take, at])
+            order = np.argsort(np.where(chosen, 0, np.where(there, 1, 2)), axis=1, kind="stable")[:, :limit]
+            found = np.take_along_axis(found, order, axis=1)
+        return found
+
+    def _link(self, chosen, nodes, layer):
+        """Add each of ``nodes`` to the neighbours of those it chose; where there are too many the diverse ones stay."""
+        links = self.links[layer]
+        width = links.shape[1]
+        at, nth = np.nonzero(chosen >= 0)
+        targets, sources = chosen[at, nth], nodes[at]
+        order = np.argsort(targets, kind="stable")
+        targets, sources = targets[order], sources[order]
+        rank = np.arange(len(targets)) - np.searchsorted(targets, targets)
+        for turn in range(int(rank.max(initial=-1)) // width + 1):
+            some = rank // width == turn
+            own, place = np.unique(targets[some], return_inverse=True)
+            new = np.full((len(own), width), -1)
+            new[place, rank[some] % width] = sources[some]
+            around = np.concatenate([links[own], new], axis=1)
+            scores = np.where(around >= 0, np.einsum("ijk,ik->ij", self.vectors[around], self.vectors[own]), -np.inf)
+            order = np.argsort(-scores, axis=1)
+            kept = self._diverse(np.take_along_axis(around, order, axis=1), np.take_along_axis(scores, order, axis=1), width)
+            links[own] = -1
+            links[own, : kept.shape[1]] = kept
+
+    def search(self, queries: np.ndarray, n: int, sight: int = SEARCH_SIGHT) -> np.ndarray:
+        """About the ``n`` nodes nearest to each vector, -1 where there are fewer; all nodes if there are no more than are kept in sight."""
         sight = max(sight, n)
         if len(self.vectors) <= sight:
-            return np.arange(len(self.vectors))
-        starts = [self.entry]
+            return np.tile(np.arange(len(self.vectors)), (len(queries), 1))
+        starts = np.full((len(queries), 1), self.entry)
         for layer in range(len(self.links) - 1, 0, -1):
-            starts = [i for _, i in self._near(vector, starts, 1, layer)]
-        return np.array([i for _, i in self._near(vector, starts, sight, 0)[:n]])
+            starts = self._near(queries, starts, 1, layer)[0]
+        return self._near(queries, starts, sight, 0)[0][:, :n]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -157,9 +203,10 @@ def build_index(rows: DataFrame, neighbours: int, shard_rows: int = SHARD_ROWS)
     def build(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         dim = group.column("dim")[0].as_py()
-        order = np.argsort(np.array([ids[0] for ids in group.column("ids").to_pylist()]))
-        group = group.take(pa.array(order))
-        exact = np.array(group.column("embedding").to_pylist(), np.float64).reshape(-1, dim)
+        order = np.argsort(pc.list_element(group.column("ids"), 0).to_numpy())
+        group = group.take(pa.array(order)).combine_chunks()
+        ids = group.column("ids").combine_chunks()
+        exact = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
         extra = np.sqrt(np.maximum(0.0, longest - (exact * exact).sum(axis=1)))
         scale = 1 / math.sqrt(longest)
         graph = Graph.build((np.column_stack([exact, extra]) * scale).astype(np.float32))
@@ -168,7 +215,8 @@ def build_index(rows: DataFrame, neighbours: int, shard_rows: int = SHARD_ROWS)
                 "dim": pa.array([dim], pa.int32()),
                 "shard": group.column("shard").slice(0, 1).cast(pa.int32()),
                 "vectors": pa.array([exact.tobytes()], pa.binary()),
-                "ids": pa.array([group.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
+                "ids": pa.array([ids.flatten().to_numpy(zero_copy_only=False).tobytes()], pa.binary()),
+                "held": pa.array([pc.list_value_length(ids).to_numpy().astype(np.int32).tobytes()], pa.binary()),
                 "links": pa.array([[layer.tobytes() for layer in graph.links]], pa.list_(pa.binary())),
                 "entry": pa.array([graph.entry], pa.int32()),
             }
@@ -176,7 +224,7 @@ def build_index(rows: DataFrame, neighbours: int, shard_rows: int = SHARD_ROWS)
 
     sharded = nodes.select("dim", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int").alias("shard"), "embedding", "ids")
     index = sharded.groupBy("dim", "shard").applyInArrow(
-        build, "dim int, shard int, vectors binary, ids array<array<bigint>>, links array<binary>, entry int"
+        build, "dim int, shard int, vectors binary, ids binary, held binary, links array<binary>, entry int"
     )
     return stage(index, "ann-index")
 
@@ -184,42 +232,62 @@ def build_index(rows: DataFrame, neighbours: int, shard_rows: int = SHARD_ROWS)
 def search(index: DataFrame, queries: DataFrame, neighbours: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: blocks of queries meet every shard, the best are merged."""
     rows = queries.select("vec_id", "embedding", F.size("embedding").alias("dim"))
-    n = rows.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    packed = rows.groupBy("dim", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).cast("int").alias("block")).agg(
-        F.collect_list(F.struct("vec_id", "embedding")).alias("queries")
-    )
+    n, shards = rows.count(), max(1, index.count())
+    # Large blocks carry a shard less often, smaller ones keep all cores busy where shards are few.
+    busy = math.ceil(4 * index.sparkSession.sparkContext.defaultParallelism / shards)
+    blocks = max(1, math.ceil(n / (BLOCKS * block_rows)), min(math.ceil(n / block_rows), busy))
+
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        vectors = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        columns = {c: group.column(c).slice(0, 1) for c in ("dim", "block")}
+        packed = {"queries": vectors.tobytes(), "query_ids": group.column("vec_id").to_numpy().tobytes()}
+        return pa.table(columns | {c: pa.array([data], pa.binary()) for c, data in packed.items()})
+
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).cast("int"))
+    packed = stage(blocked.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, queries binary, query_ids binary"), "ann-queries")
     meetings = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, ["dim", "block"])
 
     def find(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 dim = row["dim"]
                 exact = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
+                ids, held = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], np.int32).astype(np.int64)
+                firsts = np.cumsum(held) - held
                 longest = float((exact * exact).sum(axis=1).max())
                 layers = [np.frombuffer(layer, np.int32).reshape(len(exact), -1) for layer in row["links"]]
-                scale = np.float32(1 / math.sqrt(longest))
-                graph = Graph((exact * scale).astype(np.float32), layers, row["entry"])
-                out = {"query_id": [], "query": [], "vec_id": [], "score": []}
-                for query in row["queries"]:
-                    vector = np.array(query["embedding"])
-                    nodes = graph.search((vector / np.linalg.norm(vector)).astype(np.float32), neighbours + 1)
-                    scores = (exact[nodes] * vector).sum(axis=1)
-                    found = [(-s, i) for s, node in zip(scores.tolist(), nodes) for i in row["ids"][node] if i != query["vec_id"]]
-                    for score, i in heapq.nsmallest(neighbours, found):
-                        out["query_id"].append(query["vec_id"])
-                        out["query"].append(hash(tuple(query["embedding"])))
-                        out["vec_id"].append(i)
-                        out["score"].append(-score)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["query_id"], pa.int64()), pa.array(out["query"], pa.int64()), pa.array(out["vec_id"], pa.int64()), pa.array(out["score"], pa.float64())],
-                    names=list(out),
-                )
+                graph = Graph((exact * np.float32(1 / math.sqrt(longest))).astype(np.float32), layers, row["entry"])
+                every = np.frombuffer(row["queries"], np.float64).reshape(-1, dim)
+                own = np.frombuffer(row["query_ids"], np.int64)
+                for first in range(0, len(every), block_rows):
+                    vectors = every[first : first + block_rows]
+                    nodes = graph.search((vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32), neighbours + 1)
+                    at, nth = np.nonzero(nodes >= 0)
+                    node = nodes[at, nth]
+                    score = np.concatenate([(exact[node[k : k + 20_000]] * vectors[at[k : k + 20_000]]).sum(axis=1) for k in range(0, len(node), 20_000)])
+                    # Every id of a node, but for the query's own; of each query the best.
+                    each = held[node]
+                    place = np.repeat(firsts[node] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                    query, found, score = np.repeat(at, each), ids[place], np.repeat(score, each)
+                    other = found != own[first + query]
+                    query, found, score = query[other], found[other], score[other]
+                    order = np.lexsort((found, -score, query))
+                    query, found, score = query[order], found[order], score[order]
+                    best = np.arange(len(query)) - np.searchsorted(query, query) < neighbours
+                    query, found, score = query[best] + first, found[best], score[best]
+                    number = query + (np.int64(row["block"]) << 32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[query]), pa.array(number), pa.array(np.full(len(query), dim, np.int32)), pa.array(found), pa.array(score)],
+                        names=["query_id", "query", "dim", "vec_id", "score"],
+                    )
 
     # A task holds few of these wide rows at a time.
-    met = meetings.select("dim", "vectors", "ids", "links", "entry", "queries", F.xxhash64("dim", "shard", "block").alias("deal"))
-    found = met.repartition(F.col("deal")).drop("deal").mapInArrow(find, "query_id long, query long, vec_id long, score double")
-    best = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")
+    met = meetings.withColumn("deal", F.xxhash64("dim", "shard", "block")).drop("shard")
+    met = met.repartition(F.col("deal")).drop("deal")
+    found = met.mapInArrow(find, "query_id long, query long, dim int, vec_id long, score double")
+    best = Window.partitionBy("dim", "query").orderBy(F.col("score").desc(), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
 
 

@@ -53,3 +53,38 @@ def test_awkward_vectors(spark):
     found = ann.nearest(df).orderBy("rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found] == [(0, 1, 3, 6.0), (0, 2, 5, 0.0)]
     assert ann.nearest(df.limit(0)).count() == 0
+
+
+def test_queries_and_nodes_go_through_a_graph_together(monkeypatch):
+    """A search takes one pass a layer for all its queries and a graph is built in batches, with what single steps find."""
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(2000, 8)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    passes, near = [], ann.Graph._near
+    monkeypatch.setattr(ann.Graph, "_near", lambda self, queries, *rest: passes.append(len(queries)) or near(self, queries, *rest))
+    graph = ann.Graph.build(vectors)
+    assert len(passes) < 300
+    passes.clear()
+    queries = rng.normal(size=(300, 8)).astype(np.float32)
+    found = graph.search(queries, 10)
+    assert passes == [300] * len(graph.links)
+    assert all(len(set(row)) == 10 for row in found.tolist())
+    best = np.argsort(-(queries @ vectors.T), axis=1)[:, :10]
+    assert np.mean([len({*a} & {*b}) / 10 for a, b in zip(found.tolist(), best.tolist())]) > 0.95
+
+
+def test_small_shards_find_all(spark, monkeypatch):
+    """Shards that are in sight as a whole: results are those of brute force, whatever the blocks; equal vectors keep their ids."""
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-3, 4, size=(400, 2)).astype(float)
+    vectors[(vectors == 0).all(axis=1)] = 1
+    ids = np.arange(400)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    for blocks in (1, 8):
+        monkeypatch.setattr(ann, "BLOCKS", blocks)
+        rows = ann.usable(df)
+        found = ann.search(ann.build_index(rows, 20, 30), rows.where("vec_id % 4 = 0"), 20, block_rows=7).collect()
+        by = {}
+        for r in sorted(found, key=lambda r: r["rank"]):
+            by.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert by == {int(q): brute(ids, vectors, q, 20) for q in ids[::4]}
